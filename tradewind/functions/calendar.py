@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +28,17 @@ def month_bucket(ts: Column) -> Column:
 
 
 def days_between(start: Column, end: Column, precision: int = 9, scale: int = 2) -> Column:
-    """Fractional days from ``start`` to ``end``, rounded half away from zero."""
-    micros = F.timestamp_diff("MICROSECOND", start, end).cast(T.DecimalType(20, 0))
-    per_day = F.lit(MICROSECONDS_PER_DAY).cast(T.DecimalType(11, 0))
-    return (micros / per_day).cast(T.DecimalType(precision, scale))
+    """Fractional days from ``start`` to ``end``, rounded half away from zero.
+
+    Rounds in whole microseconds, so the result is exact; ``scale`` may go up
+    to 8, the finest step that is a whole number of them.
+    """
+    step = MICROSECONDS_PER_DAY // 10**scale
+    micros = F.timestamp_diff("MICROSECOND", start, end)
+    steps = F.call_function("div", F.abs(micros) + F.lit(step // 2), F.lit(step))
+    unit = F.lit(Decimal(1).scaleb(-scale))
+    signed = F.when(micros < 0, -steps).otherwise(steps).cast(T.DecimalType(18, 0))
+    return (signed * unit).cast(T.DecimalType(precision, scale))
 
 
 def whole_days(start: Column, end: Column) -> Column:

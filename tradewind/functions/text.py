@@ -28,14 +28,16 @@ def typed(df: DataFrame, name: str, data_type: T.DataType, lenient: bool = False
     """Column ``name`` as ``data_type``.
 
     Text sources get the blank-safe cast; columns that already carry a type
-    (Parquet, tables) are not sent through text.
+    (Parquet, tables) are not sent through text. A decimal keeps its own
+    precision: Spark sums up to eight digits on plain longs.
     """
     actual = df.schema[name].dataType
     if isinstance(actual, T.StringType):
         if isinstance(data_type, T.StringType):
             return F.col(name)
         return safe_cast(F.col(name), data_type, lenient)
-    if actual == data_type:
+    both_decimal = isinstance(actual, T.DecimalType) and isinstance(data_type, T.DecimalType)
+    if actual == data_type or both_decimal:
         return F.col(name)
     return F.col(name).try_cast(data_type) if lenient else F.col(name).cast(data_type)
 

@@ -15,8 +15,9 @@ HOT_KEY_ROWS = 2_000_000
 def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Key values with more than ``hot_rows`` rows, and their counts.
 
-    At most ``rows / hot_rows`` keys qualify, whatever the data looks like:
-    that is the bound which makes the result safe to broadcast.
+    At most ``rows / hot_rows`` keys qualify, whatever the data looks like,
+    which makes the result safe to broadcast: a trillion rows have at most
+    500,000 keys above the default threshold.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > hot_rows)
@@ -29,6 +30,7 @@ def skew_join(
     spread: Sequence[str],
     how: str = "inner",
     hot_rows: int = HOT_KEY_ROWS,
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join whose left side may hold one key in very many rows.
 
@@ -37,13 +39,18 @@ def skew_join(
     right rows are repeated once per salt. The repeats add up to at most
     ``left rows / hot_rows`` plus one per heavy key. Other keys join as usual,
     and rows with a NULL key, which match nothing, are spread as well.
+
+    The keys are counted in a pass of their own, over the key column alone. If
+    ``left`` is costly to compute, name a stored table in ``counts_from`` that
+    has the key at least as often; salts only balance the work, so the result
+    does not depend on the counts.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left joins, not {how}")
     salts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
-    heavy = (
-        heavy_keys(left.where(F.col(key).isNotNull()), [key], hot_rows)
-        .select(key, salts.alias("_salts"))
+    counted = left if counts_from is None else counts_from
+    heavy = heavy_keys(counted.where(F.col(key).isNotNull()), [key], hot_rows).select(
+        key, salts.alias("_salts")
     )
     hashed = F.xxhash64(*[F.col(c) for c in spread])
     salted_left = left.join(F.broadcast(heavy), key, "left").withColumn(

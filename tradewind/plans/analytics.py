@@ -229,7 +229,12 @@ def delivery_root_cause(
         "customer_unique_id", F.col("state").alias("customer_state")
     )
     with_seller = skew_join(
-        pairs, sellers, "seller_id", spread=["customer_unique_id"], hot_rows=hot_rows
+        pairs,
+        sellers,
+        "seller_id",
+        spread=["customer_unique_id"],
+        hot_rows=hot_rows,
+        counts_from=raw_items,
     )
     by_origin = summed(with_seller, "customer_unique_id", "seller_state")
     routes = summed(

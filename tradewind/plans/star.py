@@ -218,18 +218,22 @@ def fact_orders(
         "order_status",
         *[typed(raw_orders, raw, TIMESTAMP).alias(name) for name, raw in times.items()],
     )
-    # The two totals share the partitioning of order_id; joining people last
-    # leaves that one shuffle to serve both.
-    totalled = orders.join(items, "order_id", "left").join(payments, "order_id", "left")
-    return _with_person(totalled, raw_customers, hot_rows).select(
-        "order_id",
-        "customer_unique_id",
-        "order_status",
-        *times,
-        *[
-            default_value(F.col(c), 0).cast(money).alias(c)
-            for c in ("total_price", "total_freight", "total_payment")
-        ],
+    # People first, while the rows are narrow; the totals then leave the fact
+    # partitioned by order_id, which is what it is joined on next.
+    known = _with_person(orders, raw_customers, hot_rows)
+    return (
+        known.join(items, "order_id", "left")
+        .join(payments, "order_id", "left")
+        .select(
+            "order_id",
+            "customer_unique_id",
+            "order_status",
+            *times,
+            *[
+                default_value(F.col(c), 0).cast(money).alias(c)
+                for c in ("total_price", "total_freight", "total_payment")
+            ],
+        )
     )
 
 

@@ -85,17 +85,20 @@ _BLOCKS["raw_items"] = """
 SELECT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS seller_id,
        l_shipdate - to_days(CAST(l_quantity AS INTEGER)) AS shipping_limit_date,
        CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-       CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS freight_value
+       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))
+            AS DECIMAL(12,2)) AS freight_value
 FROM lineitem
 """
 _BLOCKS["raw_payments"] = """
 SELECT l_orderkey AS order_id, l_returnflag AS payment_type,
-       CAST(l_extendedprice AS DECIMAL(12,2))
-         * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS payment_value
+       CAST(CAST(l_extendedprice AS DECIMAL(12,2))
+         * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)))
+         AS DECIMAL(12,2)) AS payment_value
 FROM lineitem
 """
 _BLOCKS["raw_reviews"] = """
-SELECT o_orderkey AS order_id, CAST(left(o_orderpriority, 1) AS INTEGER) AS review_score FROM orders
+SELECT o_orderkey AS order_id, CAST(left(o_orderpriority, 1) AS INTEGER) AS review_score
+FROM orders
 """
 _BLOCKS["raw_customers"] = """
 SELECT c_custkey AS customer_id, c_custkey // 2 AS customer_unique_id,
@@ -178,7 +181,8 @@ SELECT DISTINCT o.order_id, i.seller_id, c.customer_unique_id,
        o.order_estimated_delivery_date AS estimated_delivery_timestamp,
        {_days("o.order_purchase_timestamp", "o.order_delivered_customer_date")} AS actual_h,
        {_days("o.order_purchase_timestamp", "o.order_estimated_delivery_date")} AS estimated_h,
-       {_days("o.order_estimated_delivery_date", "o.order_delivered_customer_date")} AS difference_h,
+       {_days("o.order_estimated_delivery_date", "o.order_delivered_customer_date")}
+         AS difference_h,
        CAST(CASE WHEN o.order_delivered_customer_date > o.order_estimated_delivery_date
                  THEN 1 ELSE 0 END AS INTEGER) AS is_late
 FROM raw_orders o
@@ -209,18 +213,19 @@ FROM valid_orders GROUP BY order_month
 _BLOCKS["ceo_monthly"] = f"""
 SELECT order_month, total_orders, CAST(revenue_c AS DOUBLE) / 100 AS total_revenue,
        {two_places("revenue_c", "total_orders", 1)} AS avg_order_value,
-       {pct("revenue_c - lag(revenue_c) OVER w", "lag(revenue_c) OVER w")} AS mom_revenue_growth_pct,
+       {pct("revenue_c - lag(revenue_c) OVER w", "lag(revenue_c) OVER w")}
+         AS mom_revenue_growth_pct,
        {pct("total_orders - lag(total_orders) OVER w", "lag(total_orders) OVER w")}
          AS mom_orders_growth_pct,
        revenue_c, {hundredths("revenue_c", "total_orders", 1)} AS aov_h
 FROM ceo_base WINDOW w AS (ORDER BY order_month)
 """
+_ON_TIME = "count(*) FILTER (WHERE is_late = 0 AND delivered_customer_timestamp IS NOT NULL)"
 _BLOCKS["ops_base"] = f"""
 SELECT {month("purchase_timestamp")} AS order_month, count(*) AS total_shipments,
        count(delivered_customer_timestamp) AS total_delivered,
        {hundredths("sum(actual_h)", "count(actual_h)", 1)} AS days_h,
-       {hundredths("count(*) FILTER (WHERE is_late = 0 AND delivered_customer_timestamp IS NOT NULL)",
-                   "count(delivered_customer_timestamp)", 10_000)} AS otd_h,
+       {hundredths(_ON_TIME, "count(delivered_customer_timestamp)", 10_000)} AS otd_h,
        {hundredths("count(*) FILTER (WHERE is_late = 1)",
                    "count(delivered_customer_timestamp)", 10_000)} AS late_h
 FROM fact_deliveries GROUP BY 1
@@ -533,8 +538,9 @@ SELECT l_orderkey, {pct("a", "b")} AS pct FROM (
   FROM lineitem GROUP BY l_orderkey)
 """
 _STATEMENTS["C14_late_flag"] = f"""
-SELECT order_id, {int4("coalesce(order_delivered_customer_date > order_estimated_delivery_date, false)")}
-  AS is_late FROM raw_orders
+SELECT order_id, CAST(coalesce(order_delivered_customer_date > order_estimated_delivery_date,
+                               false) AS INTEGER) AS is_late
+FROM raw_orders
 """
 _STATEMENTS["C15_fault_flags"] = """
 SELECT order_id, seller_id, is_late, is_seller_late, is_carrier_late FROM milestones
@@ -602,8 +608,8 @@ JOIN dim_customers c ON m.customer_unique_id = c.customer_unique_id
 """
 _STATEMENTS["J9_scalar_subquery"] = f"""
 SELECT order_id,
-       {int4("datesub('day', purchase_timestamp, (SELECT max(purchase_timestamp) FROM fact_orders))")}
-         AS age_days,
+       CAST(datesub('day', purchase_timestamp,
+            (SELECT max(purchase_timestamp) FROM fact_orders)) AS INTEGER) AS age_days,
        {pct("total_payment * 100000", "(SELECT sum(total_payment) * 100 FROM fact_orders)")}
          AS share_per_mille_pct
 FROM fact_orders
@@ -693,11 +699,11 @@ FROM (SELECT order_status, count(*) AS n_orders, sum(total_payment) AS revenue
 """
 _ROLLING = """
   SELECT order_month, revenue_c, total_orders,
-         sum(revenue_c) OVER (ORDER BY order_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS lr,
-         sum(total_orders) OVER (ORDER BY order_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS lo,
-         sum(revenue_c) OVER (ORDER BY order_month ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS pr,
-         sum(total_orders) OVER (ORDER BY order_month ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS po
-  FROM ceo_base"""
+         sum(revenue_c) OVER last_12 AS lr, sum(total_orders) OVER last_12 AS lo,
+         sum(revenue_c) OVER before_12 AS pr, sum(total_orders) OVER before_12 AS po
+  FROM ceo_base
+  WINDOW last_12 AS (ORDER BY order_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW),
+         before_12 AS (ORDER BY order_month ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"""
 _STATEMENTS["W5_rolling_sums"] = f"""
 SELECT {iso("order_month")} AS order_month, {dbl("revenue_c")} / 100 AS total_revenue, total_orders,
        {dbl("lr")} / 100 AS ltm_total_revenue, {big("lo")} AS ltm_total_orders,

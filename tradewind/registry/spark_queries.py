@@ -462,14 +462,10 @@ def _(t):
     people = star.dim_customers.select(
         "customer_unique_id", F.col("state").alias("customer_state")
     )
-    return (
-        joins.skew_join(
-            joins.skew_join(milestones, sellers, "seller_id", spread=["order_id"]),
-            people,
-            "customer_unique_id",
-            spread=["order_id", "seller_id"],
-        )
-    ).select(
+    located = joins.skew_join(
+        milestones, sellers, "seller_id", spread=["order_id"], counts_from=t.items
+    )
+    return located.join(people, "customer_unique_id").select(
         "order_id",
         "seller_id",
         "seller_state",

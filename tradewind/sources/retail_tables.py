@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from tradewind.plans.star import StarSchema, build_star
 
-AMOUNT = T.DecimalType(12, 2)
+# Amounts of one line are below 105,000 at every scale of the source.
+AMOUNT = T.DecimalType(8, 2)
 RATE = T.DecimalType(4, 2)
 
 # Order states of the source and their marketplace names.
@@ -112,7 +113,7 @@ class RetailTables:
             F.col("l_suppkey").alias("seller_id"),
             (F.col("l_shipdate") - days).alias("shipping_limit_date"),
             price.alias("price"),
-            (price * F.col("l_tax").cast(RATE)).alias("freight_value"),
+            (price * F.col("l_tax").cast(RATE)).cast(AMOUNT).alias("freight_value"),
         )
 
     @cached_property
@@ -122,7 +123,7 @@ class RetailTables:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_returnflag").alias("payment_type"),
-            paid.alias("payment_value"),
+            paid.cast(AMOUNT).alias("payment_value"),
         )
 
     @cached_property
@@ -133,13 +134,16 @@ class RetailTables:
         )
 
     def _states(self, key: str) -> DataFrame:
-        return self.table("nation").select(
-            F.col("n_nationkey").alias(key), F.lower("n_name").alias("state")
+        """One row per nation, so that the left join is dropped where unused."""
+        return (
+            self.table("nation")
+            .groupBy(F.col("n_nationkey").alias(key))
+            .agg(F.lower(F.min("n_name")).alias("state"))
         )
 
     @cached_property
     def customers(self) -> DataFrame:
-        located = self.table("customer").join(self._states("c_nationkey"), "c_nationkey")
+        located = self.table("customer").join(self._states("c_nationkey"), "c_nationkey", "left")
         return located.select(
             F.col("c_custkey").alias("customer_id"),
             F.expr("c_custkey div 2").alias("customer_unique_id"),
@@ -150,7 +154,7 @@ class RetailTables:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        located = self.table("supplier").join(self._states("s_nationkey"), "s_nationkey")
+        located = self.table("supplier").join(self._states("s_nationkey"), "s_nationkey", "left")
         return located.select(
             F.col("s_suppkey").alias("seller_id"),
             F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
