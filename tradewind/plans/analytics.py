@@ -205,40 +205,40 @@ def delivery_root_cause(
 ) -> DataFrame:
     """Late deliveries per route, split into seller and carrier faults.
 
-    Deliveries are summed per (customer, seller), then per (customer, seller
-    state), before each dimension is joined: a busy customer reaches its
-    dimension with one row per seller state, and busy sellers are salted.
+    Busy sellers are salted in their join. Deliveries then are summed per
+    (customer, seller state), so a busy customer reaches its dimension with
+    one row per seller state.
     """
-    sums = ["_deliveries", "_late", "_seller", "_carrier"]
-
-    def summed(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-
-    pairs = (
-        delivery_milestones(fact_deliveries, raw_orders, raw_items)
-        .groupBy("customer_unique_id", "seller_id")
-        .agg(
-            F.count(F.lit(1)).alias("_deliveries"),
-            F.sum("is_late").alias("_late"),
-            F.sum("is_seller_late").alias("_seller"),
-            F.sum("is_carrier_late").alias("_carrier"),
-        )
-    )
     sellers = dim_sellers.select("seller_id", F.col("state").alias("seller_state"))
     customers = dim_customers.select(
         "customer_unique_id", F.col("state").alias("customer_state")
     )
+    milestones = delivery_milestones(fact_deliveries, raw_orders, raw_items).select(
+        "order_id",
+        "seller_id",
+        "customer_unique_id",
+        "is_late",
+        "is_seller_late",
+        "is_carrier_late",
+    )
     with_seller = skew_join(
-        pairs,
+        milestones,
         sellers,
         "seller_id",
-        spread=["customer_unique_id"],
+        spread=["order_id"],
         hot_rows=hot_rows,
         counts_from=raw_items,
     )
-    by_origin = summed(with_seller, "customer_unique_id", "seller_state")
-    routes = summed(
-        by_origin.join(customers, "customer_unique_id"), "seller_state", "customer_state"
+    by_origin = with_seller.groupBy("customer_unique_id", "seller_state").agg(
+        F.count(F.lit(1)).alias("_deliveries"),
+        F.sum("is_late").alias("_late"),
+        F.sum("is_seller_late").alias("_seller"),
+        F.sum("is_carrier_late").alias("_carrier"),
+    )
+    routes = (
+        by_origin.join(customers, "customer_unique_id")
+        .groupBy("seller_state", "customer_state")
+        .agg(*[F.sum(c).alias(c) for c in ("_deliveries", "_late", "_seller", "_carrier")])
     )
     return routes.select(
         "seller_state",

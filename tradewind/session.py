@@ -17,6 +17,7 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -83,7 +83,9 @@ def export_json(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write an extract as JSON lines, NULLs included.
 
     The executors write it; nothing passes through the driver. ``single_file``
-    is for extracts of known small size (monthly series, top lists).
+    is for extracts of known small size (monthly series, top lists) that end
+    in a sort or limit: the shuffle of that step keeps all work before it
+    parallel, and only the final rows go through one task.
     """
     out = to_extract_types(df)
     if single_file:
