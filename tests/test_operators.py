@@ -226,3 +226,26 @@ def test_top_rows_breaks_ties(spark):
     random.Random(3).shuffle(data)
     df = spark.createDataFrame([(i, i // 10) for i in data], "id int, v int")
     assert [r.id for r in series.top_rows(df, 5, "v", ["id"]).collect()] == [40, 41, 42, 43, 44]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from tradewind.sources.tables import bucketed_table
+
+    facts = [
+        bucketed_table(
+            spark.range(500).select(F.col("id").alias("order_id"), (F.col("id") * n).alias(f"v{n}")),
+            f"fact_{n}",
+            str(tmp_path / f"fact_{n}"),
+            4,
+            ["order_id"],
+        )
+        for n in (1, 2)
+    ]
+    try:
+        joined = facts[0].hint("merge").join(facts[1], "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.where("v2 = 2 * v1").count() == 500
+    finally:
+        for n in (1, 2):
+            spark.sql(f"DROP TABLE fact_{n}")

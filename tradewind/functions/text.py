@@ -78,7 +78,7 @@ def upper_code(col: Column) -> Column:
 
 def display_label(col: Column) -> Column:
     """Underscores shown as spaces."""
-    return F.translate(col, "_", " ")
+    return F.replace(col, F.lit("_"), F.lit(" "))
 
 
 def route_label(origin: Column, destination: Column, separator: str = " ➔ ") -> Column:

@@ -127,11 +127,10 @@ SELECT DISTINCT p_type AS product_category_name,
 FROM part WHERE p_type <> 'ECONOMY'
 """
 _BLOCKS["dim_customers"] = f"""
-SELECT customer_unique_id, customer_zip_code_prefix AS zip_code_prefix,
-       {title("customer_city")} AS city, upper(customer_state) AS state
-FROM (SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY customer_id DESC) AS rn
-      FROM raw_customers)
-WHERE rn = 1
+SELECT customer_unique_id, arg_max(customer_zip_code_prefix, customer_id) AS zip_code_prefix,
+       {title("arg_max(customer_city, customer_id)")} AS city,
+       upper(arg_max(customer_state, customer_id)) AS state
+FROM raw_customers GROUP BY customer_unique_id
 """
 _BLOCKS["dim_sellers"] = f"""
 SELECT seller_id, seller_zip_code_prefix AS zip_code_prefix,
@@ -139,30 +138,30 @@ SELECT seller_id, seller_zip_code_prefix AS zip_code_prefix,
 FROM raw_sellers
 """
 _BLOCKS["dim_products"] = """
-SELECT p.product_id, coalesce(t.product_category_name_english, 'unknown') AS category_english,
-       CAST(nullif(p.product_weight_g, '') AS INTEGER) AS weight_g,
-       CAST(nullif(p.product_length_cm, '') AS INTEGER) AS length_cm,
-       CAST(nullif(p.product_height_cm, '') AS INTEGER) AS height_cm,
-       CAST(nullif(p.product_width_cm, '') AS INTEGER) AS width_cm
-FROM raw_products p
-LEFT JOIN raw_translation t ON p.product_category_name = t.product_category_name
+SELECT product_id, ifnull(product_category_name_english, 'unknown') AS category_english,
+       TRY_CAST(product_weight_g AS INTEGER) AS weight_g,
+       TRY_CAST(product_length_cm AS INTEGER) AS length_cm,
+       TRY_CAST(product_height_cm AS INTEGER) AS height_cm,
+       TRY_CAST(product_width_cm AS INTEGER) AS width_cm
+FROM raw_products LEFT JOIN raw_translation USING (product_category_name)
 """
 _BLOCKS["fact_orders"] = """
-SELECT o.order_id, c.customer_unique_id, o.order_status,
-       o.order_purchase_timestamp AS purchase_timestamp,
-       o.order_approved_at AS approved_timestamp,
-       o.order_delivered_carrier_date AS delivered_carrier_timestamp,
-       o.order_delivered_customer_date AS delivered_customer_timestamp,
-       o.order_estimated_delivery_date AS estimated_delivery_timestamp,
-       CAST(coalesce(i.total_price, 0) AS DECIMAL(18,2)) AS total_price,
-       CAST(coalesce(i.total_freight, 0) AS DECIMAL(18,2)) AS total_freight,
-       CAST(coalesce(p.total_payment, 0) AS DECIMAL(18,2)) AS total_payment
-FROM raw_orders o
-JOIN raw_customers c ON o.customer_id = c.customer_id
-LEFT JOIN (SELECT order_id, sum(price) AS total_price, sum(freight_value) AS total_freight
-           FROM raw_items GROUP BY order_id) i ON o.order_id = i.order_id
-LEFT JOIN (SELECT order_id, sum(payment_value) AS total_payment
-           FROM raw_payments GROUP BY order_id) p ON o.order_id = p.order_id
+SELECT order_id, customer_unique_id, order_status,
+       order_purchase_timestamp AS purchase_timestamp,
+       order_approved_at AS approved_timestamp,
+       order_delivered_carrier_date AS delivered_carrier_timestamp,
+       order_delivered_customer_date AS delivered_customer_timestamp,
+       order_estimated_delivery_date AS estimated_delivery_timestamp,
+       ifnull(price_sum, 0)::DECIMAL(18,2) AS total_price,
+       ifnull(freight_sum, 0)::DECIMAL(18,2) AS total_freight,
+       ifnull(paid_sum, 0)::DECIMAL(18,2) AS total_payment
+FROM raw_orders
+JOIN raw_customers USING (customer_id)
+LEFT JOIN (FROM raw_items
+           SELECT order_id, sum(price) AS price_sum, sum(freight_value) AS freight_sum
+           GROUP BY ALL) USING (order_id)
+LEFT JOIN (FROM raw_payments SELECT order_id, sum(payment_value) AS paid_sum
+           GROUP BY ALL) USING (order_id)
 """
 _BLOCKS["valid_orders"] = """
 SELECT *, CAST(date_trunc('month', purchase_timestamp) AS DATE) AS order_month
@@ -175,35 +174,31 @@ def _days(start: str, end: str) -> str:
 
 
 _BLOCKS["fact_deliveries"] = f"""
-SELECT DISTINCT o.order_id, i.seller_id, c.customer_unique_id,
-       o.order_purchase_timestamp AS purchase_timestamp,
-       o.order_delivered_customer_date AS delivered_customer_timestamp,
-       o.order_estimated_delivery_date AS estimated_delivery_timestamp,
-       {_days("o.order_purchase_timestamp", "o.order_delivered_customer_date")} AS actual_h,
-       {_days("o.order_purchase_timestamp", "o.order_estimated_delivery_date")} AS estimated_h,
-       {_days("o.order_estimated_delivery_date", "o.order_delivered_customer_date")}
-         AS difference_h,
-       CAST(CASE WHEN o.order_delivered_customer_date > o.order_estimated_delivery_date
-                 THEN 1 ELSE 0 END AS INTEGER) AS is_late
-FROM raw_orders o
-JOIN raw_customers c ON o.customer_id = c.customer_id
-JOIN raw_items i ON o.order_id = i.order_id
-WHERE o.order_status IN ('delivered', 'shipped')
+SELECT order_id, seller_id, customer_unique_id,
+       placed AS purchase_timestamp,
+       arrived AS delivered_customer_timestamp,
+       promised AS estimated_delivery_timestamp,
+       {_days("placed", "arrived")} AS actual_h,
+       {_days("placed", "promised")} AS estimated_h,
+       {_days("promised", "arrived")} AS difference_h,
+       ifnull(arrived > promised, false)::INTEGER AS is_late
+FROM (SELECT order_id, customer_id, order_purchase_timestamp AS placed,
+             order_delivered_customer_date AS arrived, order_estimated_delivery_date AS promised
+      FROM raw_orders WHERE order_status <> 'canceled')
+JOIN raw_customers USING (customer_id)
+JOIN (SELECT DISTINCT order_id, seller_id FROM raw_items) USING (order_id)
 """
 _BLOCKS["milestones"] = """
-SELECT d.*, o.order_delivered_carrier_date AS carrier_handover_timestamp,
-       i.shipping_limit_timestamp,
-       CAST(CASE WHEN d.is_late = 1 AND o.order_delivered_carrier_date IS NOT NULL
-                  AND o.order_delivered_carrier_date > i.shipping_limit_timestamp
-                 THEN 1 ELSE 0 END AS INTEGER) AS is_seller_late,
-       CAST(CASE WHEN d.is_late = 1 AND (o.order_delivered_carrier_date IS NULL
-                  OR o.order_delivered_carrier_date <= i.shipping_limit_timestamp)
-                 THEN 1 ELSE 0 END AS INTEGER) AS is_carrier_late
-FROM fact_deliveries d
-JOIN raw_orders o ON d.order_id = o.order_id
-JOIN (SELECT order_id, seller_id, max(shipping_limit_date) AS shipping_limit_timestamp
-      FROM raw_items GROUP BY order_id, seller_id) i
-  ON d.order_id = i.order_id AND d.seller_id = i.seller_id
+SELECT *, (is_late = 1 AND handed_late)::INTEGER AS is_seller_late,
+       (is_late = 1 AND NOT handed_late)::INTEGER AS is_carrier_late
+FROM (
+  SELECT fact_deliveries.*, order_delivered_carrier_date AS carrier_handover_timestamp,
+         shipping_limit_timestamp,
+         ifnull(order_delivered_carrier_date > shipping_limit_timestamp, false) AS handed_late
+  FROM fact_deliveries
+  JOIN raw_orders USING (order_id)
+  JOIN (SELECT order_id, seller_id, max(shipping_limit_date) AS shipping_limit_timestamp
+        FROM raw_items GROUP BY ALL) USING (order_id, seller_id))
 """
 _BLOCKS["ceo_base"] = """
 SELECT order_month, CAST(count(order_id) AS BIGINT) AS total_orders,
@@ -220,14 +215,14 @@ SELECT order_month, total_orders, CAST(revenue_c AS DOUBLE) / 100 AS total_reven
        revenue_c, {hundredths("revenue_c", "total_orders", 1)} AS aov_h
 FROM ceo_base WINDOW w AS (ORDER BY order_month)
 """
-_ON_TIME = "count(*) FILTER (WHERE is_late = 0 AND delivered_customer_timestamp IS NOT NULL)"
+# A late parcel has arrived, so the other arrivals were on time.
+_ON_TIME = "count(delivered_customer_timestamp) - sum(is_late)"
 _BLOCKS["ops_base"] = f"""
 SELECT {month("purchase_timestamp")} AS order_month, count(*) AS total_shipments,
        count(delivered_customer_timestamp) AS total_delivered,
        {hundredths("sum(actual_h)", "count(actual_h)", 1)} AS days_h,
        {hundredths(_ON_TIME, "count(delivered_customer_timestamp)", 10_000)} AS otd_h,
-       {hundredths("count(*) FILTER (WHERE is_late = 1)",
-                   "count(delivered_customer_timestamp)", 10_000)} AS late_h
+       {hundredths("sum(is_late)", "count(delivered_customer_timestamp)", 10_000)} AS late_h
 FROM fact_deliveries GROUP BY 1
 """
 _BLOCKS["ops_monthly"] = """
@@ -238,26 +233,19 @@ SELECT order_month, total_shipments, total_delivered,
 FROM ops_base
 """
 _BLOCKS["marketing_base"] = f"""
-SELECT s.order_month, coalesce(a.n, 0) AS new_customers, coalesce(r.n, 0) AS total_orders,
-       {hundredths("coalesce(r.repeats, 0)", "r.n", 10_000)} AS repeat_h,
-       coalesce(v.score_h, 0) AS score_h
-FROM (SELECT DISTINCT {month("purchase_timestamp")} AS order_month FROM fact_orders) s
-LEFT JOIN (
-  SELECT {month("first_ts")} AS order_month, count(*) AS n
-  FROM (SELECT customer_unique_id, min(purchase_timestamp) AS first_ts
-        FROM valid_orders GROUP BY 1) GROUP BY 1
-) a ON a.order_month = s.order_month
-LEFT JOIN (
-  SELECT order_month, count(*) FILTER (WHERE order_num > 1) AS repeats, count(*) AS n
-  FROM (SELECT order_month, row_number() OVER (
-          PARTITION BY customer_unique_id ORDER BY purchase_timestamp) AS order_num
-        FROM valid_orders) GROUP BY 1
-) r ON r.order_month = s.order_month
-LEFT JOIN (
-  SELECT {month("o.purchase_timestamp")} AS order_month,
-         {hundredths("sum(review_score)", "count(review_score)", 100)} AS score_h
-  FROM raw_reviews v JOIN fact_orders o ON v.order_id = o.order_id GROUP BY 1
-) v ON v.order_month = s.order_month
+SELECT order_month, count(*) FILTER (is_first) AS new_customers, count(is_first) AS total_orders,
+       {hundredths("count(*) FILTER (NOT is_first)", "count(is_first)", 10_000)} AS repeat_h,
+       ifnull({hundredths("sum(score_sum)", "sum(score_n)", 100)}, 0) AS score_h
+FROM (
+  SELECT {month("f.purchase_timestamp")} AS order_month, v.rank = 1 AS is_first,
+         score_sum, score_n
+  FROM fact_orders f
+  LEFT JOIN (SELECT order_id, row_number() OVER (PARTITION BY customer_unique_id
+                                                 ORDER BY purchase_timestamp) AS rank
+             FROM valid_orders) v USING (order_id)
+  LEFT JOIN (SELECT order_id, sum(review_score) AS score_sum, count(review_score) AS score_n
+             FROM raw_reviews GROUP BY ALL) USING (order_id))
+GROUP BY order_month
 """
 _BLOCKS["marketing_monthly"] = """
 SELECT order_month, new_customers AS new_customers_acquired, total_orders,
@@ -267,72 +255,63 @@ FROM marketing_base
 """
 _BLOCKS["rfm_raw"] = """
 SELECT customer_unique_id,
-       CAST(datesub('day', max(purchase_timestamp),
-            (SELECT max(purchase_timestamp) FROM fact_orders)) AS INTEGER) AS raw_recency_days,
-       count(order_id) AS raw_frequency, sum(total_payment) AS raw_monetary
+       min(datesub('day', purchase_timestamp, (SELECT max(purchase_timestamp) FROM fact_orders))
+          )::INTEGER AS raw_recency_days,
+       count(*) AS raw_frequency, sum(total_payment) AS raw_monetary
 FROM valid_orders GROUP BY customer_unique_id
 """
 _BLOCKS["rfm_scores"] = """
-SELECT *,
-       ntile(4) OVER (ORDER BY raw_recency_days DESC, customer_unique_id) AS r_score,
-       CASE WHEN raw_frequency = 1 THEN 1 WHEN raw_frequency = 2 THEN 3 ELSE 4 END AS f_score,
+SELECT *, ntile(4) OVER (ORDER BY raw_recency_days DESC, customer_unique_id) AS r_score,
+       least(2 * raw_frequency - 1, 4) AS f_score,
        ntile(4) OVER (ORDER BY raw_monetary, customer_unique_id) AS m_score
 FROM rfm_raw
 """
 _BLOCKS["rfm_segments"] = """
 SELECT *, CASE
-  WHEN r_score = 4 AND f_score >= 3 AND m_score >= 3 THEN 'Champions'
-  WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal'
-  WHEN r_score >= 3 AND f_score = 1 THEN 'New / Recent'
-  WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk / Can''t Lose'
-  WHEN r_score = 1 AND f_score = 1 AND m_score = 1 THEN 'Lost'
+  WHEN f_score > 1 THEN
+    CASE WHEN r_score < 3 THEN 'At Risk / Can''t Lose'
+         WHEN r_score + m_score >= 7 AND r_score = 4 THEN 'Champions' ELSE 'Loyal' END
+  WHEN r_score > 2 THEN 'New / Recent'
+  WHEN r_score + m_score = 2 THEN 'Lost'
   ELSE 'About to Sleep / Cold' END AS rfm_segment
 FROM rfm_scores
 """
 _BLOCKS["cohorts"] = f"""
-SELECT r.cohort_month, s.cohort_size, r.cohort_index, r.active_customers,
-       {pct("r.active_customers", "s.cohort_size")} AS retention_pct
+SELECT cohort_month, first_value(n) OVER w AS cohort_size, cohort_index, n AS active_customers,
+       {pct("n", "first_value(n) OVER w")} AS retention_pct
 FROM (
-  SELECT cohort_month,
-         CAST((year(order_month) - year(cohort_month)) * 12
-              + month(order_month) - month(cohort_month) AS INTEGER) AS cohort_index,
-         count(DISTINCT customer_unique_id) AS active_customers
-  FROM valid_orders JOIN (
-    SELECT customer_unique_id, min(order_month) AS cohort_month FROM valid_orders GROUP BY 1
-  ) USING (customer_unique_id)
-  GROUP BY 1, 2
-) r JOIN (
-  SELECT cohort_month, count(*) AS cohort_size
-  FROM (SELECT customer_unique_id, min(order_month) AS cohort_month FROM valid_orders GROUP BY 1)
-  GROUP BY 1
-) s ON r.cohort_month = s.cohort_month
+  SELECT cohort_month, datediff('month', cohort_month, order_month)::INTEGER AS cohort_index,
+         count(DISTINCT customer_unique_id) AS n
+  FROM (SELECT customer_unique_id, order_month,
+               min(order_month) OVER (PARTITION BY customer_unique_id) AS cohort_month
+        FROM valid_orders)
+  GROUP BY ALL)
+WINDOW w AS (PARTITION BY cohort_month ORDER BY cohort_index)
 """
 _BLOCKS["root_cause"] = f"""
-SELECT s.state AS seller_state, c.state AS customer_state,
-       count(*) AS total_deliveries, CAST(sum(is_late) AS BIGINT) AS total_late_deliveries,
-       {pct("sum(is_late)", "count(*)")} AS late_delivery_rate_pct,
-       {pct("sum(is_seller_late)", "sum(is_late)")} AS seller_fault_share_pct,
-       {pct("sum(is_carrier_late)", "sum(is_late)")} AS carrier_fault_share_pct
-FROM milestones m
-JOIN dim_sellers s ON m.seller_id = s.seller_id
-JOIN dim_customers c ON m.customer_unique_id = c.customer_unique_id
-GROUP BY 1, 2
+SELECT seller_state, customer_state, n AS total_deliveries, late AS total_late_deliveries,
+       {pct("late", "n")} AS late_delivery_rate_pct,
+       {pct("seller_late", "late")} AS seller_fault_share_pct,
+       {pct("carrier_late", "late")} AS carrier_fault_share_pct
+FROM (
+  SELECT s.state AS seller_state, c.state AS customer_state, count(*) AS n,
+         sum(is_late)::BIGINT AS late, sum(is_seller_late) AS seller_late,
+         sum(is_carrier_late) AS carrier_late
+  FROM milestones JOIN dim_sellers s USING (seller_id)
+  JOIN dim_customers c USING (customer_unique_id)
+  GROUP BY ALL)
 """
 _BLOCKS["worst"] = "SELECT * FROM root_cause WHERE total_deliveries >= 50"
 _BLOCKS["patterns"] = """
-SELECT CAST(dayofweek(ts) AS INTEGER) AS day_of_week,
-       CASE dayofweek(ts) WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday'
-         WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday'
-         WHEN 6 THEN 'Saturday' END AS day_name,
-       CAST(hour(ts) AS INTEGER) AS hour_of_day,
+SELECT dayofweek(ts)::INTEGER AS day_of_week, dayname(ts) AS day_name,
+       hour(ts)::INTEGER AS hour_of_day,
        count(*) AS order_count, sum(CAST(value AS DECIMAL(12,2))) AS revenue
-FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3
+FROM events WHERE event_type = 'purchase' GROUP BY ALL
 """
 _BLOCKS["trends"] = f"""
-SELECT o.order_month, p.payment_type, count(*) AS transaction_count,
-       {two_places("sum(p.payment_value) * 10000", "100", 1)} AS payment_value
-FROM valid_orders o JOIN raw_payments p ON o.order_id = p.order_id
-GROUP BY 1, 2
+SELECT order_month, payment_type, count(*) AS transaction_count,
+       {dbl("sum(payment_value)")} AS payment_value
+FROM raw_payments JOIN valid_orders USING (order_id) GROUP BY ALL
 """
 
 
@@ -418,17 +397,16 @@ UNION ALL SELECT 'duplicate_line_keys', count(*) FROM ({_DUPLICATES})
 """
 _STATEMENTS["Q2_duplicate_keys"] = f"SELECT count(*) AS duplicate_keys FROM ({_DUPLICATES})"
 _STATEMENTS["Q3_missing_profile"] = """
-SELECT count(*) AS total_records,
-       count(*) FILTER (WHERE order_id IS NULL) AS missing_order_id,
-       count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer_id,
-       count(*) FILTER (WHERE order_status IS NULL OR order_status = '') AS missing_order_status,
-       count(*) FILTER (WHERE order_purchase_timestamp IS NULL) AS missing_purchase_timestamp,
-       count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS missing_delivered_date
+SELECT count(*) AS total_records, count(*) - count(order_id) AS missing_order_id,
+       count(*) - count(customer_id) AS missing_customer_id,
+       count_if(ifnull(order_status, '') = '') AS missing_order_status,
+       count(*) - count(order_purchase_timestamp) AS missing_purchase_timestamp,
+       count(*) - count(order_delivered_customer_date) AS missing_delivered_date
 FROM raw_orders
 """
 _STATEMENTS["Q4_category_distribution"] = f"""
 SELECT payment_type, count(*) AS transaction_count,
-       {two_places("sum(payment_value) * 10000", "100", 1)} AS total_payment_value
+       {dbl("sum(payment_value)")} AS total_payment_value
 FROM raw_payments GROUP BY payment_type
 """
 _STATEMENTS["Q5_value_anomalies"] = f"""
@@ -439,14 +417,13 @@ FROM (SELECT CAST(c_acctbal AS DECIMAL(12,2)) AS v FROM customer)
 """
 _STATEMENTS["Q6_missing_category_profile"] = """
 SELECT count(*) AS total_products,
-       count(*) FILTER (WHERE coalesce(product_category_name, '') = '') AS missing_category_name
+       count_if(ifnull(product_category_name, '') = '') AS missing_category_name
 FROM raw_products
 """
 _STATEMENTS["Q7_unmatched_values"] = """
-SELECT DISTINCT p.product_category_name AS untranslated_category
-FROM raw_products p LEFT JOIN raw_translation t
-  ON p.product_category_name = t.product_category_name
-WHERE p.product_category_name <> '' AND t.product_category_name IS NULL
+SELECT product_category_name AS untranslated_category FROM raw_products
+WHERE product_category_name <> ''
+EXCEPT SELECT product_category_name FROM raw_translation
 """
 _STATEMENTS["Q8_check_unique"] = _DUPLICATES
 _STATEMENTS["Q9_check_not_null"] = """
@@ -489,10 +466,10 @@ UNION ALL SELECT 'fact_deliveries', count(*) FROM fact_deliveries
 _STATEMENTS["C1_insert_if_absent"] = """
 SELECT product_category_name, product_category_name_english FROM raw_translation
 UNION ALL
-SELECT n.a, n.b FROM (VALUES
+SELECT a, b FROM (VALUES
   ('portateis_cozinha_e_preparadores_de_alimentos', 'portable_kitchen_and_food_processors'),
   ('pc_gamer', 'pc_gamer'), ('PROMO', 'replaced')) n(a, b)
-WHERE NOT EXISTS (SELECT 1 FROM raw_translation t WHERE t.product_category_name = n.a)
+WHERE a NOT IN (SELECT product_category_name FROM raw_translation)
 """
 _STATEMENTS["C2_blank_to_null"] = """
 SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority
@@ -798,20 +775,17 @@ FROM (SELECT day_of_week, day_name, sum(order_count) AS n FROM patterns GROUP BY
 _STATEMENTS["P17_geo_revenue"] = f"""
 SELECT state, {dbl("r")} AS revenue,
        {pct("r * 100", "(SELECT sum(total_payment) * 100 FROM valid_orders)")} AS revenue_share_pct
-FROM (SELECT c.state, sum(o.total_payment) AS r
-      FROM valid_orders o JOIN dim_customers c ON o.customer_unique_id = c.customer_unique_id
-      GROUP BY 1)
+FROM (SELECT state, sum(total_payment) AS r
+      FROM valid_orders JOIN dim_customers USING (customer_unique_id) GROUP BY ALL)
 ORDER BY r DESC, state LIMIT 10
 """
 _STATEMENTS["P18_category_performance"] = f"""
-SELECT p.category_english, {dbl("sum(i.price)")} AS revenue,
-       {two_places("sum(v.review_score)", "count(v.review_score)", 100)} AS avg_review_score,
-       count(DISTINCT o.order_id) AS total_orders
-FROM valid_orders o
-JOIN raw_items i ON o.order_id = i.order_id
-JOIN dim_products p ON i.product_id = p.product_id
-LEFT JOIN raw_reviews v ON o.order_id = v.order_id
-GROUP BY 1 ORDER BY sum(i.price) DESC, 1 LIMIT 15
+SELECT category_english, {dbl("sum(price)")} AS revenue,
+       {two_places("sum(review_score)", "count(review_score)", 100)} AS avg_review_score,
+       count(DISTINCT order_id) AS total_orders
+FROM raw_items JOIN dim_products USING (product_id) SEMI JOIN valid_orders USING (order_id)
+LEFT JOIN raw_reviews USING (order_id)
+GROUP BY category_english ORDER BY sum(price) DESC, category_english LIMIT 15
 """
 _STATEMENTS["P19_payment_trends"] = f"""
 SELECT {iso("order_month")} AS order_month, payment_type, transaction_count, payment_value

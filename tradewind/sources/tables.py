@@ -73,7 +73,7 @@ def to_extract_types(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DateType):
             col = col.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            col = F.translate(col.cast("string"), " ", "T")
+            col = F.replace(col.cast("string"), F.lit(" "), F.lit("T"))
         return col.alias(field.name)
 
     return df.select(*[plain(field) for field in df.schema.fields])
