@@ -399,7 +399,7 @@ _STATEMENTS["Q2_duplicate_keys"] = f"SELECT count(*) AS duplicate_keys FROM ({_D
 _STATEMENTS["Q3_missing_profile"] = """
 SELECT count(*) AS total_records, count(*) - count(order_id) AS missing_order_id,
        count(*) - count(customer_id) AS missing_customer_id,
-       count_if(ifnull(order_status, '') = '') AS missing_order_status,
+       CAST(count_if(ifnull(order_status, '') = '') AS BIGINT) AS missing_order_status,
        count(*) - count(order_purchase_timestamp) AS missing_purchase_timestamp,
        count(*) - count(order_delivered_customer_date) AS missing_delivered_date
 FROM raw_orders
@@ -417,7 +417,7 @@ FROM (SELECT CAST(c_acctbal AS DECIMAL(12,2)) AS v FROM customer)
 """
 _STATEMENTS["Q6_missing_category_profile"] = """
 SELECT count(*) AS total_products,
-       count_if(ifnull(product_category_name, '') = '') AS missing_category_name
+       CAST(count_if(ifnull(product_category_name, '') = '') AS BIGINT) AS missing_category_name
 FROM raw_products
 """
 _STATEMENTS["Q7_unmatched_values"] = """
@@ -476,7 +476,7 @@ SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END
 FROM orders
 """
 _STATEMENTS["C3_safe_cast"] = """
-SELECT product_id, CAST(nullif(product_length_cm, '') AS INTEGER) AS length_cm,
+SELECT product_id, CAST(nullif(product_length_cm, '') AS DOUBLE) AS length_cm,
        CAST(product_width_cm || '.255' AS DOUBLE) AS price,
        CASE WHEN product_length_cm <> '' THEN '2017-10-02T10:56:33' END AS ts,
        true AS not_an_integer
@@ -554,9 +554,9 @@ FROM raw_orders o LEFT JOIN (
 """
 _STATEMENTS["J4_spine_join"] = f"""
 SELECT {iso(month("purchase_timestamp"))} AS order_month,
-       nullif(count(*) FILTER (WHERE order_status = 'delivered'), 0) AS delivered_orders,
-       nullif(count(*) FILTER (WHERE order_status = 'shipped'), 0) AS shipped_orders,
-       nullif(count(*) FILTER (WHERE order_status = 'canceled'), 0) AS canceled_orders
+       count(*) FILTER (WHERE order_status = 'delivered') AS delivered_orders,
+       count(*) FILTER (WHERE order_status = 'shipped') AS shipped_orders,
+       count(*) FILTER (WHERE order_status = 'canceled') AS canceled_orders
 FROM fact_orders GROUP BY 1
 """
 _STATEMENTS["J5_lookup_with_default"] = """
@@ -647,7 +647,8 @@ FROM (
 GROUP BY 1
 """
 _STATEMENTS["W1_lag"] = f"""
-SELECT {iso("month")} AS month, n_orders, lag(n_orders) OVER (ORDER BY month) AS previous_orders
+SELECT {iso("month")} AS month, n_orders,
+       {dbl("lag(n_orders) OVER (ORDER BY month)")} AS previous_orders
 FROM (SELECT {month("o_orderdate")} AS month, count(*) AS n_orders FROM orders GROUP BY 1)
 """
 _STATEMENTS["W2_row_number"] = f"""
@@ -684,7 +685,7 @@ _ROLLING = """
 _STATEMENTS["W5_rolling_sums"] = f"""
 SELECT {iso("order_month")} AS order_month, {dbl("revenue_c")} / 100 AS total_revenue, total_orders,
        {dbl("lr")} / 100 AS ltm_total_revenue, {big("lo")} AS ltm_total_orders,
-       {dbl("pr")} / 100 AS prior_ltm_total_revenue, {big("po")} AS prior_ltm_total_orders
+       {dbl("pr")} / 100 AS prior_ltm_total_revenue, {dbl("po")} AS prior_ltm_total_orders
 FROM ({_ROLLING})
 """
 
@@ -706,7 +707,12 @@ WHERE delivered_customer_timestamp IS NOT NULL
 
 # --- Star schema and analytic plans
 _STATEMENTS["P1_dim_customers"] = "SELECT * FROM dim_customers"
-_STATEMENTS["P2_dim_products"] = "SELECT * FROM dim_products"
+_STATEMENTS["P2_dim_products"] = f"""
+SELECT product_id, category_english, {dbl("weight_g")} AS weight_g,
+       {dbl("length_cm")} AS length_cm, {dbl("height_cm")} AS height_cm,
+       {dbl("width_cm")} AS width_cm
+FROM dim_products
+"""
 _STATEMENTS["P3_dim_sellers"] = "SELECT * FROM dim_sellers"
 _STATEMENTS["P4_fact_orders"] = f"""
 SELECT order_id, customer_unique_id, order_status,
@@ -796,7 +802,7 @@ FROM trends
 _STATEMENTS["D1_ltm_growth"] = f"""
 SELECT {iso("order_month")} AS order_month, {dbl("lr")} / 100 AS ltm_revenue,
        {big("lo")} AS ltm_orders, {dbl("pr")} / 100 AS prior_ltm_revenue,
-       {big("po")} AS prior_ltm_orders,
+       {dbl("po")} AS prior_ltm_orders,
        {pct("lr - pr", "pr")} AS ltm_revenue_growth_pct,
        {pct("lo - po", "po")} AS ltm_orders_growth_pct
 FROM ({_ROLLING})

@@ -43,6 +43,11 @@ def query(name: str):
     return register
 
 
+def as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Integers that may be NULL as doubles, which every consumer reads alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def orders_with(t: RetailTables, **columns) -> DataFrame:
     picked = [c.alias(name) for name, c in columns.items()]
     return t.table("orders").select("o_orderkey", *picked)
@@ -250,7 +255,9 @@ def _(t):
     )
     return text.select(
         "product_id",
-        fn.safe_cast(F.col("product_length_cm"), T.IntegerType()).alias("length_cm"),
+        fn.safe_cast(F.col("product_length_cm"), T.IntegerType())
+        .cast("double")
+        .alias("length_cm"),
         fn.safe_cast(F.col("price_text"), T.DecimalType(18, 4)).alias("price"),
         fn.safe_cast(F.col("ts"), T.TimestampNTZType()).alias("ts"),
         fn.safe_cast(F.col("price_text"), T.IntegerType(), lenient=True)
@@ -427,7 +434,7 @@ def _(t):
         .agg(F.count(F.lit(1)).alias(f"{status}_orders"))
         for status in ("delivered", "shipped", "canceled")
     ]
-    return joins.spine_join(spine, "order_month", counts)
+    return joins.spine_join(spine, "order_month", counts).fillna(0)
 
 
 @query("J5_lookup_with_default")
@@ -574,7 +581,8 @@ def _(t):
     monthly = t.table("orders").groupBy(
         fn.month_bucket(F.col("o_orderdate")).alias("month")
     ).agg(F.count(F.lit(1)).alias("n_orders"))
-    return monthly.withColumn("previous_orders", series.previous("n_orders", "month"))
+    lagged = monthly.withColumn("previous_orders", series.previous("n_orders", "month"))
+    return as_double(lagged, "previous_orders")
 
 
 @query("W2_row_number")
@@ -620,7 +628,8 @@ def _(t):
     ceo = kpis.ceo_monthly(t.star.fact_orders).select(
         "order_month", "total_revenue", "total_orders"
     )
-    return series.rolling_sums(ceo, "order_month", ["total_revenue", "total_orders"])
+    rolled = series.rolling_sums(ceo, "order_month", ["total_revenue", "total_orders"])
+    return as_double(rolled, "prior_ltm_total_orders")
 
 
 # --- Sort, limit, set operations -------------------------------------------
@@ -661,21 +670,30 @@ def _(t):
 
 # --- Star schema and analytic plans ------------------------------------------
 
-for _name in (
-    "dim_customers",
-    "dim_products",
-    "dim_sellers",
-    "fact_orders",
-    "fact_deliveries",
-):
-    _key = {
-        "dim_customers": "P1",
-        "dim_products": "P2",
-        "dim_sellers": "P3",
-        "fact_orders": "P4",
-        "fact_deliveries": "P5",
-    }[_name]
-    query(f"{_key}_{_name}")(lambda t, name=_name: getattr(t.star, name))
+
+@query("P1_dim_customers")
+def _(t):
+    return t.star.dim_customers
+
+
+@query("P2_dim_products")
+def _(t):
+    return as_double(t.star.dim_products, "weight_g", "length_cm", "height_cm", "width_cm")
+
+
+@query("P3_dim_sellers")
+def _(t):
+    return t.star.dim_sellers
+
+
+@query("P4_fact_orders")
+def _(t):
+    return t.star.fact_orders
+
+
+@query("P5_fact_deliveries")
+def _(t):
+    return t.star.fact_deliveries
 
 
 @query("P6_ceo_monthly")
@@ -764,7 +782,7 @@ def _trends(t):
 
 @query("D1_ltm_growth")
 def _(t):
-    return dashboards.ltm_growth(_ceo(t))
+    return as_double(dashboards.ltm_growth(_ceo(t)), "prior_ltm_orders")
 
 
 @query("D2_aov_growth")
