@@ -127,7 +127,8 @@ def test_sequence_within_equals_window(skewed, hot_rows):
 def test_keep_latest(values):
     df = values(
         "u int, id string, city string",
-        "(1, 'a', 'x'), (1, 'c', 'y'), (1, 'b', NULL), (2, 'a', NULL), (3, NULL, 'n'), (3, 'z', 'o')",
+        "(1, 'a', 'x'), (1, 'c', 'y'), (1, 'b', NULL), (2, 'a', NULL), "
+        "(3, NULL, 'n'), (3, 'z', 'o')",
     )
     kept = dedupe.keep_latest(df, ["u"], "id")
     assert by_text(kept) == [(1, "c", "y"), (2, "a", None), (3, None, "n")]
@@ -139,14 +140,23 @@ def test_keep_any_is_one_whole_row(values):
     assert rows(dedupe.keep_any(df.select("k"), ["k"])) == [(1,), (2,)]
 
 
-def test_insert_if_absent_twice(spark, values):
-    existing = values("k string, v string", "('a', 'A'), ('b', 'B')")
-    added = dedupe.literal_rows(spark, existing.schema, [("b", "other"), ("c", "C")])
+def test_insert_if_absent_twice(values):
+    existing = values("k string, v string", "('a', 'A'), ('b', 'B'), ('b', 'B2')")
+    added = [("b", "other"), ("c", "C")]
     once = dedupe.insert_if_absent(existing, added, "k")
-    assert rows(once) == [("a", "A"), ("b", "B"), ("c", "C")]
+    assert rows(once) == [("a", "A"), ("b", "B"), ("b", "B2"), ("c", "C")]
     assert rows(dedupe.insert_if_absent(once, added, "k")) == rows(once)
 
 
+def test_lookup_and_anti_join(values):
+    left = values("id int, k string", "(1, 'a'), (2, 'b'), (3, NULL), (4, 'a')")
+    names = values("k string, name string", "('a', 'A'), ('c', 'C')")
+    found = joins.lookup_with_default(left, names, "k", "name", "?", ["id"], hot_rows=1)
+    assert rows(found.select("id", "name")) == [(1, "A"), (2, "?"), (3, "?"), (4, "A")]
+    unmatched = joins.without_match(left, names.union(names), ["k"])
+    assert rows(unmatched.select("id")) == [(2,), (3,)]
+
+
 def test_quality_checks(values):
     df = values(
         "id int, name string, amount decimal(8)",
@@ -233,7 +243,7 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
 
     facts = [
         bucketed_table(
-            spark.range(500).select(F.col("id").alias("order_id"), (F.col("id") * n).alias(f"v{n}")),
+            spark.range(500).selectExpr("id AS order_id", f"id * {n} AS v{n}"),
             f"fact_{n}",
             str(tmp_path / f"fact_{n}"),
             4,

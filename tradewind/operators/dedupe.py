@@ -48,7 +48,17 @@ def literal_rows(
     return spark.range(1).select(F.inline(F.array(*[struct(row) for row in rows])))
 
 
-def insert_if_absent(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Append the rows whose key the table lacks; running it twice adds nothing."""
-    known = existing.select(key)
-    return existing.unionByName(rows.join(known, key, "left_anti").select(*existing.columns))
+def insert_if_absent(
+    existing: DataFrame, rows: Sequence[Sequence[Any]], key: str
+) -> DataFrame:
+    """Append the constant rows whose key the table lacks.
+
+    Running it twice adds nothing. The keys go into the table's scan as a
+    filter, so only the ones found are compared.
+    """
+    position = existing.columns.index(key)
+    found = existing.where(F.col(key).isin([row[position] for row in rows]))
+    added = literal_rows(existing.sparkSession, existing.schema, rows).join(
+        found.select(key).distinct(), key, "left_anti"
+    )
+    return existing.unionByName(added)

@@ -97,19 +97,27 @@ def lookup_with_default(
     key: str,
     column: str,
     default: Any,
+    spread: Sequence[str],
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Left join one dimension column, replacing misses by ``default``.
 
-    Without a hint: Spark broadcasts the dimension while its measured size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    Many rows may share a key or have none. Whether the dimension is broadcast
+    is left to Spark, which measures it.
     """
-    joined = left.join(dimension.select(key, column), key, "left")
+    joined = skew_join(
+        left, dimension.select(key, column), key, spread, how="left", hot_rows=hot_rows
+    )
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
 def without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key does not occur in ``right``."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    """Rows of ``left`` whose key does not occur in ``right``.
+
+    The right keys are made distinct first: one that fills much of the table
+    reaches the join once per task.
+    """
+    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def scalar_of(df: DataFrame, aggregate: Column) -> Column:

@@ -19,8 +19,8 @@ from tradewind.functions import (
     upper_code,
 )
 from tradewind.operators import quality
-from tradewind.operators.dedupe import insert_if_absent, keep_any, keep_latest, literal_rows
-from tradewind.operators.joins import HOT_KEY_ROWS, skew_join
+from tradewind.operators.dedupe import insert_if_absent, keep_any, keep_latest
+from tradewind.operators.joins import HOT_KEY_ROWS, lookup_with_default, skew_join
 from tradewind.sources.tables import replace_table
 
 TIMESTAMP = T.TimestampNTZType()
@@ -105,13 +105,8 @@ def clean_translations(
     translation: DataFrame, rows: Sequence[tuple[str, str]] = MISSING_TRANSLATIONS
 ) -> DataFrame:
     """Add the translations the delivered file lacks."""
-    schema = translation.select(
-        "product_category_name", "product_category_name_english"
-    ).schema
-    added = literal_rows(translation.sparkSession, schema, rows)
-    return insert_if_absent(
-        translation.select(*schema.names), added, "product_category_name"
-    )
+    known = translation.select("product_category_name", "product_category_name_english")
+    return insert_if_absent(known, rows, "product_category_name")
 
 
 def dim_customers(raw_customers: DataFrame) -> DataFrame:
@@ -154,12 +149,13 @@ def dim_products(
     hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Products with English category and integer measurements."""
-    named = skew_join(
+    named = lookup_with_default(
         raw_products,
-        translation.select("product_category_name", "product_category_name_english"),
+        translation,
         "product_category_name",
+        "product_category_name_english",
+        unknown,
         spread=["product_id"],
-        how="left",
         hot_rows=hot_rows,
     )
     measures = {
@@ -170,7 +166,7 @@ def dim_products(
     }
     return named.select(
         "product_id",
-        default_value(F.col("product_category_name_english"), unknown).alias("category_english"),
+        F.col("product_category_name_english").alias("category_english"),
         *[typed(named, raw, T.IntegerType()).alias(name) for name, raw in measures.items()],
     )
 
