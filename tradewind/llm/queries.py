@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chat_format, piece_tokenizer, url_vocabulary
+from tradewind.llm import chat_format, license_index, piece_tokenizer, sketch_fingerprint, url_vocabulary
 from tradewind.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,16 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_vocabulary.judge_urls(read(spark, folder, "pages"))
 
 
+@query("op6_fingerprints")
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch_fingerprint.edited_likeness(read(spark, folder, "documents"))
+
+
+@query("op7_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_index.scan_licenses(read(spark, folder, "documents")).drop("matches")
+
+
 @query("op10_sentencepiece")
 def sentencepiece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return piece_tokenizer.encode_documents(read(spark, folder, "documents"), piece_model())
