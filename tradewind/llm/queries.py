@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tradewind.llm import chat_format, license_index, piece_tokenizer, sketch_fingerprint, url_vocabulary
-from tradewind.llm.tables import read
+from pyspark.sql import functions as F
+
+from tradewind.llm import (
+    chat_format,
+    compression_toxicity,
+    license_index,
+    piece_tokenizer,
+    sketch_fingerprint,
+    url_vocabulary,
+)
+from tradewind.llm.tables import crc_remainder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,12 +31,31 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 def query(name: str):
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        @wraps(run)
+        def shipped(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, folder)
+
+        QUERIES[name] = shipped
         return run
 
     return register
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for the functions that run there."""
+    context = spark.sparkContext
+    if getattr(context, "_tradewind_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / "tradewind.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tradewind_shipped = True
+
+
 def piece_model() -> str:
     """The vocabulary file's place, as its package tells it."""
     try:
@@ -47,6 +78,16 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.format_chats(rows))
 
 
+@query("op2_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    labels = read(spark, folder, "labels").select("doc_id", "toxic")
+    model = compression_toxicity.fit(documents, compression_toxicity.learnable(labels))
+    return compression_toxicity.score(documents, model).select(
+        "doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 @query("op5_url_filters")
 def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_vocabulary.judge_urls(read(spark, folder, "pages"))
