@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import (
     chat_format,
     compression_toxicity,
+    decontaminate,
     license_index,
     piece_tokenizer,
     sketch_fingerprint,
@@ -103,6 +104,11 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_index.scan_licenses(read(spark, folder, "documents")).drop("matches")
 
 
+@query("op9_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query("op10_sentencepiece")
 def sentencepiece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return piece_tokenizer.encode_documents(read(spark, folder, "documents"), piece_model())

@@ -116,3 +116,16 @@ def shingles(word_hashes: np.ndarray, bounds: np.ndarray, size: int = SHINGLE_WO
         # Mixed once more with its length: a short row never equals a full shingle.
         out[out_bounds[row]] = mix(value + np.uint64(counts[row]))[0]
     return out, out_bounds
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
+    """The batch in pieces of about ``limit`` bytes of text; a longer text is a piece of its own."""
+    sizes = np.diff(column_bytes(batch.column(column))[1])
+    begin, size = 0, 0
+    for at, n in enumerate(sizes.tolist()):
+        if at > begin and size + n > limit:
+            yield batch.slice(begin, at - begin)
+            begin, size = at, 0
+        size += n
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
