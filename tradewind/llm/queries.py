@@ -17,6 +17,7 @@ from tradewind.llm import (
     compression_toxicity,
     decontaminate,
     license_index,
+    ngram_join,
     piece_tokenizer,
     sketch_fingerprint,
     url_vocabulary,
@@ -104,6 +105,11 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_index.scan_licenses(read(spark, folder, "documents")).drop("matches")
 
 
+@query("op8_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_documents(read(spark, folder, "documents"))
+
+
 @query("op9_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
