@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import word_hashes
+from tradewind.llm.bitmaps import bitmap_of, has_bit
 from tradewind.llm.components import connected_components, stored
 
 PERCENT = 75
@@ -54,7 +55,6 @@ SHORT_LIST = 32
 MOST_PAIRED = 12
 FREQUENT_IN_SLICE = 3
 FREQUENT = 24
-BITMAP_BITS = 1 << 24
 _SLICE = 8 << 20
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 
@@ -67,7 +67,7 @@ def _sets(column: pa.Array, hot: np.ndarray | None = None):
     _, _, hashes, bounds = word_hashes.words(*word_hashes.column_bytes(column))
     values, ranges = word_hashes.shingles(hashes, bounds)
     rows = np.repeat(np.arange(len(ranges) - 1), np.diff(ranges))
-    late = _has_bit(hot, values) if hot is not None else np.zeros(len(values), bool)
+    late = has_bit(hot, values) if hot is not None else np.zeros(len(values), bool)
     order = np.lexsort((values, late, rows))
     values, rows, late = values[order], rows[order], late[order]
     keep = np.ones(len(values), bool)
@@ -82,25 +82,6 @@ def _nodes(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     return word_hashes.mix(sums[ranges[1:]] - sums[ranges[:-1]] + np.diff(ranges).astype(np.uint64)).view(np.int64)
 
 
-def _has_bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(BITMAP_BITS - 1)
-    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of the column ``key``, put together by an aggregation."""
-    words = (
-        keys.select(F.expr(f"key & {BITMAP_BITS - 1}L").alias("place"))
-        .select(F.shiftright("place", 5).alias("word"), F.expr("shiftleft(1L, int(place & 31L))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-    )
-    table = words.toArrow()
-    out = np.zeros(BITMAP_BITS // 32, np.uint32)
-    out[table["word"].to_numpy()] = table["bits"].to_numpy().astype(np.uint32)
-    return out.view(np.uint8)
-
-
 def _seen_once(nodes: np.ndarray, seen: set[int]) -> np.ndarray:
     """Which rows are the first of their class in this task; ``seen`` is kept small."""
     keep = np.zeros(len(nodes), bool)
@@ -132,7 +113,7 @@ def frequent_shingles(texts: DataFrame) -> np.ndarray:
                 yield _batch({"key": pa.array(keys[many].view(np.int64)), "n": pa.array(counts[many])})
 
     counted = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return _bitmap(counted.where(F.col("n") >= FREQUENT).select("key"))
+    return bitmap_of(counted.where(F.col("n") >= FREQUENT).select("key"))
 
 
 def _set_bitmap(values: np.ndarray) -> bytes:
@@ -336,7 +317,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, by the sets themselves."""
     pairs = stored(pairs, "pairs")
-    wanted = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    wanted = bitmap_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     broadcast = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +326,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for piece in word_hashes.slices(batch, "text"):
                 values, ranges, _ = _sets(piece.column("text"))
                 nodes = _nodes(values, ranges)
-                asked = np.flatnonzero(_has_bit(broadcast.value, nodes.view(np.uint64)) & (np.diff(ranges) > 0))
+                asked = np.flatnonzero(has_bit(broadcast.value, nodes.view(np.uint64)) & (np.diff(ranges) > 0))
                 asked = asked[_seen_once(nodes[asked], seen)]
                 yield _batch(
                     {

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import (
     chat_format,
+    class_ngrams,
     compression_toxicity,
     decontaminate,
     license_index,
     ngram_join,
     piece_tokenizer,
+    repeat_intervals,
     sketch_fingerprint,
     url_vocabulary,
 )
@@ -90,6 +92,16 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_intervals.digests(repeat_intervals.cut_repeats(read(spark, folder, "documents").select("doc_id", "text")))
+
+
+@query("op4_class_ngram_scoring")
+def class_ngram_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return class_ngrams.score_documents(read(spark, folder, "documents"))
+
+
 @query("op5_url_filters")
 def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_vocabulary.judge_urls(read(spark, folder, "pages"))
