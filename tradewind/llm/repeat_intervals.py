@@ -390,7 +390,7 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, doc_id: str = "d
 
     A cut inside a character removes the character's other bytes too; nulls stay null.
     """
-    cut = cut_repeats(documents, length, doc_id, text)
+    cut, names = cut_repeats(documents, length, doc_id, text), documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,8 +399,8 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, doc_id: str = "d
                 for t, n, k in zip(*(batch.column(c).to_pylist() for c in (text, "n_removed", "kept")))
             ]
             at = batch.schema.get_field_index(text)
-            yield batch.set_column(at, text, pa.array(said, pa.string())).select(documents.columns)
+            yield batch.set_column(at, text, pa.array(said, pa.string())).select(names)
 
-    return cut.select(*documents.columns, *[c for c in ("n_removed", "kept") if c not in documents.columns]).mapInArrow(
+    return cut.select(*names, *[c for c in ("n_removed", "kept") if c not in names]).mapInArrow(
         run, documents.schema
     )
