@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import connect, difference
 from tests.conftest import SMALL
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from tradewind.registry.duckdb_sql import ORACLES
+from tradewind.registry.spark_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
