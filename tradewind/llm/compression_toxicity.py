@@ -52,7 +52,7 @@ TABLE_SIZE = 500_000
 class Parameters:
     sample_toxic: int = 2500
     sample_ordinary: int = 5000
-    sample_bytes: int = 65536
+    sample_bytes: int = 32768
     particular: float = 8.0
     threshold: float = 0.3
 
