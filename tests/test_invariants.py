@@ -89,7 +89,7 @@ def test_tiles_are_even(market):
 def test_star_constraints_hold(market):
     _, star, _, _ = market
     wide = {"dim_customers": {"state": 20}, "dim_sellers": {"state": 20}}
-    for name, violations in star_checks(star, wide).items():
+    for name, violations in star_checks(star, wide, {}).items():
         assert violations.isEmpty(), name
 
 

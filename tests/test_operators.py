@@ -151,7 +151,7 @@ def test_insert_if_absent_twice(values):
 def test_lookup_and_anti_join(values):
     left = values("id int, k string", "(1, 'a'), (2, 'b'), (3, NULL), (4, 'a')")
     names = values("k string, name string", "('a', 'A'), ('c', 'C')")
-    found = joins.lookup_with_default(left, names, "k", "name", "?", ["id"], hot_rows=1)
+    found = joins.lookup_with_default(left, names, "k", "name", "?")
     assert rows(found.select("id", "name")) == [(1, "A"), (2, "?"), (3, "?"), (4, "A")]
     unmatched = joins.without_match(left, names.union(names), ["k"])
     assert rows(unmatched.select("id")) == [(2,), (3,)]

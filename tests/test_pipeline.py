@@ -14,8 +14,15 @@ from tradewind import pipeline
 from tradewind.operators.quality import QualityError
 from tradewind.plans import analytics, dashboards, kpis
 from tradewind.plans.extracts import extracts
-from tradewind.plans.star import RawTables, build_star, clean_translations, write_star
+from tradewind.plans.star import (
+    RawTables,
+    build_star,
+    clean_translations,
+    tracked_deliveries,
+    write_star,
+)
 from tradewind.sources.csv_tables import load_all, read_raw_csv
+from tradewind.sources.tables import replace_table
 
 FEED = {
     # o1: three items of two sellers, two payments. o2: no items, no payments.
@@ -103,7 +110,7 @@ def feed(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def result(spark, feed, tmp_path_factory):
-    return pipeline.run(spark, feed, str(tmp_path_factory.mktemp("out")))
+    return pipeline.run(spark, feed, str(tmp_path_factory.mktemp("out")), "shop_")
 
 
 @pytest.fixture(scope="module")
@@ -120,7 +127,7 @@ def test_load_counts_and_missing_files(result):
     assert counts["raw_orders"] == 7
     assert counts["raw_order_reviews"] == 4
     assert counts["TOTAL"] == 7 + 9 + 7 + 4 + 7 + 4 + 2 + 1
-    assert result.loaded.missing == ["*geolocation_dataset.csv"]
+    assert result.loaded.missing == ["shop_geolocation_dataset.csv"]
 
 
 def test_raw_tables_are_text_with_clean_headers(result):
@@ -375,8 +382,8 @@ def test_views_answer_sql(spark, result):
 
 
 def test_second_run_replaces(spark, feed, tmp_path):
-    first = sorted(load_all(spark, feed, str(tmp_path)).counts.collect())
-    second = sorted(load_all(spark, feed, str(tmp_path)).counts.collect())
+    first = sorted(load_all(spark, feed, str(tmp_path), "shop_").counts.collect())
+    second = sorted(load_all(spark, feed, str(tmp_path), "shop_").counts.collect())
     assert first == second
 
 
@@ -415,10 +422,63 @@ def test_known_translations_stay(raw):
     assert names["pc_gamer"] == "pc_gamer" and len(names) == 3
 
 
-def test_hot_keys_change_nothing(raw, result):
-    """With every key treated as hot the extracts stay the same."""
-    salted = build_star(raw, hot_rows=1)
-    plain = extracts(result.star, raw, result.views, 1)
-    again = extracts(salted, raw, min_route_deliveries=1)
-    for name, frame in plain.items():
-        assert sorted(map(str, frame.collect())) == sorted(map(str, again[name].collect())), name
+def test_failed_build_leaves_the_last_star(spark, raw, tmp_path):
+    good = write_star(build_star(raw), str(tmp_path))
+    before = sorted(map(str, good.fact_orders.collect()))
+    broken = RawTables(**{**raw.__dict__, "sellers": raw.sellers.where("seller_id = 's1'")})
+    with pytest.raises(QualityError):
+        write_star(build_star(broken), str(tmp_path))
+    again = spark.read.schema(good.fact_orders.schema).parquet(f"{tmp_path}/fact_orders")
+    assert sorted(map(str, again.collect())) == before
+
+
+def test_numbers_beyond_the_declared_decimals_fail_the_build(raw, tmp_path):
+    huge = raw.payments.withColumn("payment_value", F.lit("100000000.00"))
+    with pytest.raises(QualityError, match="fact_orders domain"):
+        write_star(build_star(RawTables(**{**raw.__dict__, "payments": huge})), str(tmp_path))
+
+
+def test_star_types(result):
+    kinds = dict(result.star.fact_orders.dtypes)
+    assert kinds["total_payment"] == kinds["total_price"] == "decimal(18,2)"
+    assert kinds["purchase_timestamp"] == "timestamp_ntz"
+    assert dict(result.star.fact_deliveries.dtypes)["is_late"] == "int"
+
+
+def test_missing_file_names_the_table(spark, tmp_path):
+    (tmp_path / "customers_dataset.csv").write_text("customer_id\n1\n")
+    loaded = load_all(spark, str(tmp_path), str(tmp_path / "out"))
+    assert "order_items_dataset.csv" in loaded.missing
+    with pytest.raises(ValueError, match="raw_order_items"):
+        RawTables.from_loaded(loaded.tables)
+
+
+def test_headers_are_compared(spark, tmp_path):
+    for name, text in {"same/a": "x,y\n1,2\n", "same/b": "x,y\n3,4\n", "other/a": "x,y\n1,2\n", "other/b": "y,x\n4,3\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_text(text)
+    same = read_raw_csv(spark, str(tmp_path / "same"))
+    assert sorted((r.x, r.y) for r in same.collect()) == [("1", "2"), ("3", "4")]
+    with pytest.raises(Exception, match="header does not conform"):
+        read_raw_csv(spark, str(tmp_path / "other")).collect()
+    (tmp_path / "repeated.csv").write_text("a,a,Order ID,order id\n1,2,3,4\n")
+    with pytest.raises(ValueError, match="order_id"):
+        read_raw_csv(spark, str(tmp_path / "repeated.csv"))
+
+
+def test_dynamic_overwrite_mode_leaves_no_old_partitions(spark, tmp_path):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+            written = replace_table(spark.createDataFrame(rows, "v int, p string"), str(tmp_path / "t"), ["p"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [r.v for r in written.collect()] == [3]
+
+
+def test_one_delivery_pass_equals_the_stored_one(raw, result):
+    stored = analytics.delivery_milestones(result.star.fact_deliveries, raw.orders, raw.items)
+    direct = analytics.with_faults(tracked_deliveries(raw.orders, raw.customers, raw.items))
+    columns = [c for c in direct.columns]
+    assert keyed(stored, *columns) == keyed(direct, *columns)

@@ -1,8 +1,9 @@
 """Ratios, growth and delivery flags.
 
-Ratios run on decimals wide enough to round once: with 20 digits per operand
-Spark keeps 14 or more digits after the point, so the final half-up rounding
-sees the true digit.
+Operands keep their own types and digits; none is cut before the division. The
+quotient is a double, which is exact to about 16 digits. Rounding to nine places
+first removes what binary fractions add, so that a quotient that lies on a tie in
+decimals is rounded up as in decimal arithmetic.
 """
 
 from __future__ import annotations
@@ -11,16 +12,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OPERAND = T.DecimalType(20, 2)
 RESULT = T.DecimalType(18, 2)
+_EXACT_PLACES = 9
+
+
+def rounded_quotient(numerator: Column, denominator: Column, places: int = 2) -> Column:
+    """The quotient as a double, rounded half up; NULL when the denominator is zero."""
+    quotient = numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
+    return F.round(F.round(quotient, max(_EXACT_PLACES, places + 3)), places)
 
 
 def _quotient(numerator: Column, denominator: Column, factor: int) -> Column:
-    top = numerator.cast(OPERAND)
-    if factor != 1:
-        top = top * F.lit(factor).cast(T.DecimalType(3, 0))
-    bottom = denominator.cast(OPERAND)
-    return F.round(top / F.nullif(bottom, F.lit(0).cast(OPERAND)), 2).cast(RESULT)
+    top = numerator if factor == 1 else numerator * F.lit(factor)
+    return rounded_quotient(top, denominator).cast(RESULT)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.functions.measures import rounded_quotient
+
 
 def nested_average(
     df: DataFrame, inner: str, outer: str, value: Column, name: str, places: int = 2
@@ -16,12 +18,7 @@ def nested_average(
     group must belong to one ``outer`` value.
     """
     means = df.groupBy(outer, inner).agg(
-        (
-            F.sum(value).cast(T.DecimalType(20, 2)) / F.count(value).cast(T.DecimalType(18, 0))
-        )
-        .cast(T.DecimalType(22, 12))
-        .alias("_mean")
+        (F.sum(value).cast("double") / F.count(value)).alias("_mean")
     )
-    total = F.sum("_mean").cast(T.DecimalType(28, 12))
-    count = F.count("_mean").cast(T.DecimalType(14, 0))
-    return means.groupBy(outer).agg(F.round(total / count, places).alias(name))
+    average = rounded_quotient(F.sum("_mean"), F.count("_mean"), places)
+    return means.groupBy(outer).agg(average.cast(T.DecimalType(18, places)).alias(name))

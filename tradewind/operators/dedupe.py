@@ -53,12 +53,20 @@ def insert_if_absent(
 ) -> DataFrame:
     """Append the constant rows whose key the table lacks.
 
-    Running it twice adds nothing. The keys go into the table's scan as a
+    Of rows with the same key the first is added, as if they were inserted one
+    by one. A NULL key equals no other and is always added. Otherwise, running it
+    twice adds nothing. The keys go into the table's scan as a
     filter, so only the ones found are compared.
     """
     position = existing.columns.index(key)
-    found = existing.where(F.col(key).isin([row[position] for row in rows]))
-    added = literal_rows(existing.sparkSession, existing.schema, rows).join(
+    seen: set[Any] = set()
+    first = [
+        row
+        for row in rows
+        if row[position] is None or not (row[position] in seen or seen.add(row[position]))
+    ]
+    found = existing.where(F.col(key).isin([row[position] for row in first if row[position] is not None]))
+    added = literal_rows(existing.sparkSession, existing.schema, first).join(
         found.select(key).distinct(), key, "left_anti"
     )
     return existing.unionByName(added)

@@ -37,11 +37,13 @@ def skew_join(
     Heavy keys are cut into ``count / hot_rows`` salts by the hash of
     ``spread`` (columns that differ between rows of one key), and the matching
     right rows are repeated once per salt. The repeats add up to at most
-    ``left rows / hot_rows`` plus one per heavy key. Other keys join as usual,
-    and rows with a NULL key, which match nothing, are spread as well.
+    ``left rows / hot_rows`` plus one per heavy key. Other keys join as usual.
+    Rows with a NULL key match nothing: an inner join drops them, a left join
+    passes them around the join.
 
-    The keys are counted in a pass of their own, over the key column alone. If
-    ``left`` is costly to compute, name a stored table in ``counts_from`` that
+    The keys are counted in a pass of their own, over the key column alone, so
+    this is for callers who expect such keys; adaptive execution splits the rest.
+    If ``left`` is costly to compute, name a stored table in ``counts_from`` that
     has the key at least as often; salts only balance the work, so the result
     does not depend on the counts.
     """
@@ -53,17 +55,25 @@ def skew_join(
         key, salts.alias("_salts")
     )
     hashed = F.xxhash64(*[F.col(c) for c in spread])
-    salted_left = left.join(F.broadcast(heavy), key, "left").withColumn(
+    keyed = left.where(F.col(key).isNotNull())
+    salted_left = keyed.join(heavy, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")).cast("int"))
-        .when(F.col(key).isNull(), F.pmod(hashed, F.lit(4096)).cast("int"))
-        .otherwise(0),
+        F.when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")).cast("int")).otherwise(0),
     )
-    salted_right = right.join(F.broadcast(heavy), key, "left").withColumn(
+    salted_right = right.join(heavy, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
     joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), [key, "_salt"], how)
-    return joined.drop("_salt")
+    return with_null_keys(joined.drop("_salt"), left, right, key, how)
+
+
+def with_null_keys(joined: DataFrame, left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Add the left rows without a key to a left join made without them."""
+    if how != "left":
+        return joined
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    alone = left.where(F.col(key).isNull()).select("*", *missing)
+    return joined.unionByName(alone.select(joined.columns))
 
 
 def join_aggregated(
@@ -92,22 +102,17 @@ def spine_join(spine: DataFrame, key: str, sides: Sequence[DataFrame]) -> DataFr
 
 
 def lookup_with_default(
-    left: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    column: str,
-    default: Any,
-    spread: Sequence[str],
-    hot_rows: int = HOT_KEY_ROWS,
+    left: DataFrame, dimension: DataFrame, key: str, column: str, default: Any
 ) -> DataFrame:
     """Left join one dimension column, replacing misses by ``default``.
 
-    Many rows may share a key or have none. Whether the dimension is broadcast
-    is left to Spark, which measures it.
+    Whether the dimension is broadcast is left to Spark, which measures it, and
+    a key that many rows share to its skew join. Rows without a key would all
+    meet in one task, so they go around the join.
     """
-    joined = skew_join(
-        left, dimension.select(key, column), key, spread, how="left", hot_rows=hot_rows
-    )
+    side = dimension.select(key, column)
+    joined = left.where(F.col(key).isNotNull()).join(side, key, "left")
+    joined = with_null_keys(joined, left, side, key, "left")
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 

@@ -1,8 +1,8 @@
 """Windows over already aggregated rows.
 
-Each function here takes one row per period or per group: a few hundred
+Each windowed function here takes one row per period or per group: a few hundred
 months, 168 hours of the week, a handful of segments. Only such frames may go
-through a window without partition keys.
+through a window without partition keys. Shares of a total have no such limit.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import safe_ratio_pct
+from tradewind.operators.joins import scalar_of
 
 
 def previous(column: str, order: str, rows: int = 1) -> Column:
@@ -22,9 +23,12 @@ def previous(column: str, order: str, rows: int = 1) -> Column:
 
 
 def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Each row's percentage of the column total."""
-    everything = Window.partitionBy()
-    return df.withColumn(name, safe_ratio_pct(F.col(value), F.sum(value).over(everything)))
+    """Each row's percentage of the column total.
+
+    The total is a scalar subquery: one row whatever the input's size, so this
+    works on any frame, not only on aggregated ones.
+    """
+    return df.withColumn(name, safe_ratio_pct(F.col(value), scalar_of(df, F.sum(value))))
 
 
 def rolling_sums(

@@ -41,11 +41,12 @@ def run(
     spark: SparkSession,
     csv_folder: str,
     out_folder: str,
+    prefix: str = "",
     splittable: Iterable[str] = TABLES_WITHOUT_LINE_BREAKS,
 ) -> PipelineResult:
     """Load, model, check, and export. Running it again replaces every table."""
     out = out_folder.rstrip("/")
-    loaded = load_all(spark, csv_folder, f"{out}/raw", splittable=splittable)
+    loaded = load_all(spark, csv_folder, f"{out}/raw", prefix, splittable=splittable)
     raw = RawTables.from_loaded(loaded.tables)
     star = write_star(build_star(raw), f"{out}/star")
     views = register_star(star, raw)
@@ -57,10 +58,11 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--csv", required=True, help="folder with the raw CSV files")
     parser.add_argument("--out", required=True, help="folder for tables and extracts")
+    parser.add_argument("--prefix", default="", help="what the vendor puts before the file names")
     parser.add_argument("--master", default=None)
     options = parser.parse_args()
     spark = spark_session(master=options.master)
-    result = run(spark, options.csv, options.out)
+    result = run(spark, options.csv, options.out, options.prefix)
     result.loaded.counts.show(truncate=False)
     for name in result.loaded.missing:
         print(f"missing: {name}")

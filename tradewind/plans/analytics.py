@@ -19,7 +19,7 @@ from tradewind.functions import (
     typed,
     whole_days,
 )
-from tradewind.operators.joins import HOT_KEY_ROWS, scalar_of, skew_join
+from tradewind.operators.joins import scalar_of
 from tradewind.operators.ranking import distributed_ntile
 from tradewind.operators.series import share_of_total, top_rows
 from tradewind.plans.kpis import (
@@ -86,13 +86,13 @@ def rfm_segmentation(
     )
     steps = F.when(F.col("raw_frequency") == 1, 1).when(F.col("raw_frequency") == 2, 3)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    returning, once = f >= 3, f == 1
+    # The segments' rules, in their order.
     segment = (
-        F.when(returning & (r == 4) & (m >= 3), CHAMPIONS)
-        .when(returning & (r >= 3), LOYAL)
-        .when(returning, AT_RISK)
-        .when(once & (r >= 3), RECENT)
-        .when(once & (r == 1) & (m == 1), LOST)
+        F.when((r == 4) & (f >= 3) & (m >= 3), CHAMPIONS)
+        .when((r >= 3) & (f >= 3), LOYAL)
+        .when((r >= 3) & (f == 1), RECENT)
+        .when((r <= 2) & (f >= 3), AT_RISK)
+        .when((r == 1) & (f == 1) & (m == 1), LOST)
         .otherwise(COLD)
     )
     return scored.withColumn("f_score", steps.otherwise(4)).select(
@@ -164,10 +164,24 @@ def cohort_retention(
     )
 
 
+def with_faults(milestones: DataFrame) -> DataFrame:
+    """Both fault flags for deliveries that carry their handover and shipping limit."""
+    seller_fault, carrier_fault = fault_flags(
+        F.col("is_late"),
+        F.col("carrier_handover_timestamp"),
+        F.col("shipping_limit_timestamp"),
+    )
+    return milestones.withColumns({"is_seller_late": seller_fault, "is_carrier_late": carrier_fault})
+
+
 def delivery_milestones(
     fact_deliveries: DataFrame, raw_orders: DataFrame, raw_items: DataFrame
 ) -> DataFrame:
-    """Deliveries with carrier handover, shipping limit and both fault flags."""
+    """Stored deliveries with carrier handover, shipping limit and both fault flags.
+
+    For deliveries that are still to be built, ``star.tracked_deliveries`` has the
+    same columns from a single pass over the items.
+    """
     # The greatest value as delivered, cast afterwards: for ISO text the latest.
     limits = raw_items.groupBy("order_id", "seller_id").agg(
         F.max("shipping_limit_date").alias("shipping_limit_date")
@@ -183,52 +197,27 @@ def delivery_milestones(
             "carrier_handover_timestamp"
         ),
     )
-    seller_fault, carrier_fault = fault_flags(
-        F.col("is_late"),
-        F.col("carrier_handover_timestamp"),
-        F.col("shipping_limit_timestamp"),
-    )
-    return (
-        fact_deliveries.join(handovers, "order_id")
-        .join(limits, ["order_id", "seller_id"])
-        .withColumns({"is_seller_late": seller_fault, "is_carrier_late": carrier_fault})
+    return with_faults(
+        fact_deliveries.join(handovers, "order_id").join(limits, ["order_id", "seller_id"])
     )
 
 
 def delivery_root_cause(
-    fact_deliveries: DataFrame,
-    raw_orders: DataFrame,
-    raw_items: DataFrame,
-    dim_sellers: DataFrame,
-    dim_customers: DataFrame,
-    hot_rows: int = HOT_KEY_ROWS,
+    milestones: DataFrame, dim_sellers: DataFrame, dim_customers: DataFrame
 ) -> DataFrame:
     """Late deliveries per route, split into seller and carrier faults.
 
-    Busy sellers are salted in their join. Deliveries then are summed per
-    (customer, seller state), so a busy customer reaches its dimension with
-    one row per seller state.
+    ``milestones`` are deliveries with fault flags. Spark broadcasts the sellers or
+    splits a busy one. Deliveries then are summed per (customer, seller state), so a
+    busy customer reaches its dimension with one row per seller state.
     """
     sellers = dim_sellers.select("seller_id", F.col("state").alias("seller_state"))
     customers = dim_customers.select(
         "customer_unique_id", F.col("state").alias("customer_state")
     )
-    milestones = delivery_milestones(fact_deliveries, raw_orders, raw_items).select(
-        "order_id",
-        "seller_id",
-        "customer_unique_id",
-        "is_late",
-        "is_seller_late",
-        "is_carrier_late",
-    )
-    with_seller = skew_join(
-        milestones,
-        sellers,
-        "seller_id",
-        spread=["order_id"],
-        hot_rows=hot_rows,
-        counts_from=raw_items,
-    )
+    with_seller = milestones.select(
+        "seller_id", "customer_unique_id", "is_late", "is_seller_late", "is_carrier_late"
+    ).join(sellers, "seller_id")
     by_origin = with_seller.groupBy("customer_unique_id", "seller_state").agg(
         F.count(F.lit(1)).alias("_deliveries"),
         F.sum("is_late").alias("_late"),
@@ -341,7 +330,6 @@ def category_performance(
     dim_products: DataFrame,
     limit: int = 15,
     excluded: Sequence[str] = EXCLUDED_STATUSES,
-    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Top categories by item revenue, with item-weighted score and order count.
 
@@ -354,7 +342,7 @@ def category_performance(
     )
     categories = dim_products.select("product_id", "category_english")
     baskets = (
-        skew_join(items, categories, "product_id", spread=["order_id"], hot_rows=hot_rows)
+        items.join(categories, "product_id")
         .groupBy("order_id", "category_english")
         .agg(F.sum("_price").alias("_price"), F.count(F.lit(1)).alias("_items"))
     )

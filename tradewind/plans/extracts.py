@@ -18,9 +18,7 @@ def analytic_views(star: StarSchema, raw: RawTables) -> dict[str, DataFrame]:
         "view_rfm_segmentation": analytics.rfm_segmentation(star.fact_orders),
         "view_cohort_retention": analytics.cohort_retention(star.fact_orders),
         "view_delivery_root_cause": analytics.delivery_root_cause(
-            star.fact_deliveries,
-            raw.orders,
-            raw.items,
+            analytics.delivery_milestones(star.fact_deliveries, raw.orders, raw.items),
             star.dim_sellers,
             star.dim_customers,
         ),

@@ -20,11 +20,13 @@ from tradewind.functions import (
 )
 from tradewind.operators import quality
 from tradewind.operators.dedupe import insert_if_absent, keep_any, keep_latest
-from tradewind.operators.joins import HOT_KEY_ROWS, lookup_with_default, skew_join
-from tradewind.sources.tables import replace_table
+from tradewind.operators.joins import lookup_with_default
+from tradewind.sources.tables import move_table, replace_table
 
 TIMESTAMP = T.TimestampNTZType()
-MONEY_IN = T.DecimalType(18, 4)
+# Amounts of single rows as they come in. Sums keep all six decimals and are
+# rounded once, when the fact is built.
+MONEY_IN = T.DecimalType(22, 6)
 MONEY = T.DecimalType(18, 2)
 
 # Order states whose parcels are tracked.
@@ -66,6 +68,9 @@ class RawTables:
             "sellers": "raw_sellers",
             "translation": "raw_category_translation",
         }
+        lacking = sorted(name for name in names.values() if name not in tables)
+        if lacking:
+            raise ValueError(f"the star schema needs tables that were not loaded: {lacking}")
         return cls(**{field: tables[name] for field, name in names.items()})
 
 
@@ -143,10 +148,7 @@ def dim_sellers(raw_sellers: DataFrame) -> DataFrame:
 
 
 def dim_products(
-    raw_products: DataFrame,
-    translation: DataFrame,
-    unknown: str = "unknown",
-    hot_rows: int = HOT_KEY_ROWS,
+    raw_products: DataFrame, translation: DataFrame, unknown: str = "unknown"
 ) -> DataFrame:
     """Products with English category and integer measurements."""
     named = lookup_with_default(
@@ -155,8 +157,6 @@ def dim_products(
         "product_category_name",
         "product_category_name_english",
         unknown,
-        spread=["product_id"],
-        hot_rows=hot_rows,
     )
     measures = {
         "weight_g": "product_weight_g",
@@ -171,14 +171,14 @@ def dim_products(
     )
 
 
-def _with_person(
-    orders: DataFrame, raw_customers: DataFrame, hot_rows: int
-) -> DataFrame:
-    """Orders of known customers, with the person behind the account."""
+def _with_person(orders: DataFrame, raw_customers: DataFrame) -> DataFrame:
+    """Orders of known customers, with the person behind the account.
+
+    A plain join: Spark broadcasts the accounts if they are few, and splits an
+    account with very many orders at run time.
+    """
     accounts = raw_customers.select("customer_id", "customer_unique_id")
-    return skew_join(
-        orders, accounts, "customer_id", spread=["order_id"], hot_rows=hot_rows
-    ).drop("customer_id")
+    return orders.join(accounts, "customer_id").drop("customer_id")
 
 
 def fact_orders(
@@ -187,7 +187,7 @@ def fact_orders(
     raw_items: DataFrame,
     raw_payments: DataFrame,
     money: T.DecimalType = MONEY,
-    hot_rows: int = HOT_KEY_ROWS,
+    money_in: T.DecimalType = MONEY_IN,
 ) -> DataFrame:
     """One row per order with item, freight and payment totals.
 
@@ -195,11 +195,11 @@ def fact_orders(
     order with several of each keeps one row and its true totals.
     """
     items = raw_items.groupBy("order_id").agg(
-        F.sum(typed(raw_items, "price", MONEY_IN)).alias("total_price"),
-        F.sum(typed(raw_items, "freight_value", MONEY_IN)).alias("total_freight"),
+        F.sum(typed(raw_items, "price", money_in)).alias("total_price"),
+        F.sum(typed(raw_items, "freight_value", money_in)).alias("total_freight"),
     )
     payments = raw_payments.groupBy("order_id").agg(
-        F.sum(typed(raw_payments, "payment_value", MONEY_IN)).alias("total_payment")
+        F.sum(typed(raw_payments, "payment_value", money_in)).alias("total_payment")
     )
     times = {
         "purchase_timestamp": "order_purchase_timestamp",
@@ -216,7 +216,7 @@ def fact_orders(
     )
     # People first, while the rows are narrow; the totals then leave the fact
     # partitioned by order_id, which is what it is joined on next.
-    known = _with_person(orders, raw_customers, hot_rows)
+    known = _with_person(orders, raw_customers)
     return (
         known.join(items, "order_id", "left")
         .join(payments, "order_id", "left")
@@ -233,19 +233,20 @@ def fact_orders(
     )
 
 
-def fact_deliveries(
+def tracked_deliveries(
     raw_orders: DataFrame,
     raw_customers: DataFrame,
     raw_items: DataFrame,
     statuses: Sequence[str] = TRACKED_STATUSES,
     day_precision: int = 9,
-    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """One row per order and seller for shipped and delivered orders.
+    """The delivery fact with each parcel's handover and shipping limit.
 
-    Order and seller pairs are made distinct before the join; everything else
-    follows from the order, so no row needs removing afterwards. Order and
-    account ids must be unique, which the star build checks.
+    Items are read once: an order's items are grouped per seller, which gives
+    both the pairs and their latest limit. Everything else follows from the
+    order, so no row needs removing afterwards. Order and account ids must be
+    unique, which the star build checks. A limit that is not asked for is not
+    computed.
     """
     shipped = raw_orders.where(F.col("order_status").isin(*statuses))
     orders = shipped.select(
@@ -258,8 +259,19 @@ def fact_deliveries(
         typed(shipped, "order_estimated_delivery_date", TIMESTAMP).alias(
             "estimated_delivery_timestamp"
         ),
+        typed(shipped, "order_delivered_carrier_date", TIMESTAMP).alias(
+            "carrier_handover_timestamp"
+        ),
+    )
+    # The greatest value as delivered, cast afterwards: for ISO text the latest.
+    pairs = raw_items.groupBy("order_id", "seller_id").agg(
+        F.max("shipping_limit_date").alias("shipping_limit_date")
+    )
+    pairs = pairs.select(
+        "order_id",
+        "seller_id",
+        typed(pairs, "shipping_limit_date", TIMESTAMP).alias("shipping_limit_timestamp"),
     )
-    pairs = raw_items.select("order_id", "seller_id").distinct()
     purchased = F.col("purchase_timestamp")
     delivered = F.col("delivered_customer_timestamp")
     estimated = F.col("estimated_delivery_timestamp")
@@ -268,7 +280,7 @@ def fact_deliveries(
         return days_between(start, end, day_precision)
 
     return (
-        _with_person(orders, raw_customers, hot_rows)
+        _with_person(orders, raw_customers)
         .join(pairs, "order_id")
         .select(
             "order_id",
@@ -281,35 +293,49 @@ def fact_deliveries(
             days(purchased, estimated).alias("estimated_delivery_days"),
             days(estimated, delivered).alias("days_difference"),
             late_flag(delivered, estimated).alias("is_late"),
+            "carrier_handover_timestamp",
+            "shipping_limit_timestamp",
         )
     )
 
 
-def build_star(raw: RawTables, hot_rows: int = HOT_KEY_ROWS) -> StarSchema:
+MILESTONES = ("carrier_handover_timestamp", "shipping_limit_timestamp")
+
+
+def fact_deliveries(
+    raw_orders: DataFrame,
+    raw_customers: DataFrame,
+    raw_items: DataFrame,
+    statuses: Sequence[str] = TRACKED_STATUSES,
+    day_precision: int = 9,
+) -> DataFrame:
+    """One row per order and seller for shipped and delivered orders."""
+    tracked = tracked_deliveries(raw_orders, raw_customers, raw_items, statuses, day_precision)
+    return tracked.drop(*MILESTONES)
+
+
+def build_star(raw: RawTables) -> StarSchema:
     """All five tables, from raw ones."""
     return StarSchema(
         dim_customers=lambda: dim_customers(raw.customers),
-        dim_products=lambda: dim_products(
-            raw.products, clean_translations(raw.translation), hot_rows=hot_rows
-        ),
+        dim_products=lambda: dim_products(raw.products, clean_translations(raw.translation)),
         dim_sellers=lambda: dim_sellers(raw.sellers),
-        fact_orders=lambda: fact_orders(
-            raw.orders, raw.customers, raw.items, raw.payments, hot_rows=hot_rows
-        ),
-        fact_deliveries=lambda: fact_deliveries(
-            raw.orders, raw.customers, raw.items, hot_rows=hot_rows
-        ),
+        fact_orders=lambda: fact_orders(raw.orders, raw.customers, raw.items, raw.payments),
+        fact_deliveries=lambda: fact_deliveries(raw.orders, raw.customers, raw.items),
     )
 
 
 def star_checks(
-    star: StarSchema, max_lengths: Mapping[str, Mapping[str, int]] | None = None
+    star: StarSchema,
+    max_lengths: Mapping[str, Mapping[str, int]] | None = None,
+    max_numbers: Mapping[str, Mapping[str, float]] | None = None,
 ) -> dict[str, DataFrame]:
     """Primary keys, foreign keys, required columns and value bounds.
 
     Each entry holds the violations of one constraint; all should be empty.
     """
     lengths = max_lengths if max_lengths is not None else DEFAULT_LENGTHS
+    numbers = max_numbers if max_numbers is not None else DEFAULT_NUMBERS
     tables = star.tables()
     checks = {
         f"{name} primary key": quality.check_unique(tables[name], keys)
@@ -326,8 +352,10 @@ def star_checks(
         for fact, key, dimension in FOREIGN_KEYS
     }
     checks |= {
-        f"{name} domain": quality.check_domain(tables[name], max_length=columns)
-        for name, columns in lengths.items()
+        f"{name} domain": quality.check_domain(
+            tables[name], max_length=lengths.get(name), max_abs=numbers.get(name)
+        )
+        for name in {**lengths, **numbers}
     }
     return checks
 
@@ -375,6 +403,17 @@ DEFAULT_LENGTHS = {
     "fact_deliveries": {"order_id": 50},
 }
 
+# Greatest numbers of the declared decimals, ten digits with two
+# decimals for money and five with two for days.
+DEFAULT_NUMBERS = {
+    "fact_orders": {"total_price": 99999999.99, "total_freight": 99999999.99, "total_payment": 99999999.99},
+    "fact_deliveries": {
+        "actual_delivery_days": 999.99,
+        "estimated_delivery_days": 999.99,
+        "days_difference": 999.99,
+    },
+}
+
 
 def written_star(tables: Mapping[str, DataFrame]) -> StarSchema:
     """A star schema over tables that already exist."""
@@ -385,20 +424,27 @@ def write_star(
     star: StarSchema,
     folder: str,
     max_lengths: Mapping[str, Mapping[str, int]] | None = None,
+    max_numbers: Mapping[str, Mapping[str, float]] | None = None,
 ) -> StarSchema:
-    """Write the five tables and fail if a constraint does not hold.
+    """Write the five tables, check them, and only then put them in place.
 
     Facts are partitioned by purchase month, so monthly reads prune files. The
-    constraints are checked on the written tables: the star is computed once.
+    tables are written beside the published ones and the constraints checked
+    there, so the star is computed once and a build that fails leaves the last
+    good star as it was.
     """
+    target = folder.rstrip("/")
+    staging = f"{target}/_staging"
     written = {}
     for name, df in star.tables().items():
-        path = f"{folder.rstrip('/')}/{name}"
+        path = f"{staging}/{name}"
         if name.startswith("fact_"):
             dated = df.withColumn("purchase_month", month_bucket(F.col("purchase_timestamp")))
             written[name] = replace_table(dated, path, partition_by=["purchase_month"])
         else:
             written[name] = replace_table(df, path, rebalance=True)
-    result = written_star(written)
-    quality.enforce(star_checks(result, max_lengths))
-    return result
+    quality.enforce(star_checks(written_star(written), max_lengths, max_numbers))
+    published = {
+        name: move_table(df, f"{staging}/{name}", f"{target}/{name}") for name, df in written.items()
+    }
+    return written_star(published)

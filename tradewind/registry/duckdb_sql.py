@@ -122,9 +122,10 @@ SELECT p_partkey AS product_id,
 FROM part
 """
 _BLOCKS["raw_translation"] = """
-SELECT DISTINCT p_type AS product_category_name,
-       lower(p_type) || '_goods' AS product_category_name_english
-FROM part WHERE p_type <> 'ECONOMY'
+SELECT DISTINCT CASE WHEN p_type = 'ECONOMY' THEN 'ECONOMY CLASS' ELSE p_type END AS product_category_name,
+       lower(CASE WHEN p_type = 'ECONOMY' THEN 'ECONOMY CLASS' ELSE p_type END) || '_goods'
+         AS product_category_name_english
+FROM part
 """
 _BLOCKS["dim_customers"] = f"""
 SELECT customer_unique_id, arg_max(customer_zip_code_prefix, customer_id) AS zip_code_prefix,
@@ -146,22 +147,19 @@ SELECT product_id, ifnull(product_category_name_english, 'unknown') AS category_
 FROM raw_products LEFT JOIN raw_translation USING (product_category_name)
 """
 _BLOCKS["fact_orders"] = """
-SELECT order_id, customer_unique_id, order_status,
-       order_purchase_timestamp AS purchase_timestamp,
-       order_approved_at AS approved_timestamp,
-       order_delivered_carrier_date AS delivered_carrier_timestamp,
-       order_delivered_customer_date AS delivered_customer_timestamp,
-       order_estimated_delivery_date AS estimated_delivery_timestamp,
-       ifnull(price_sum, 0)::DECIMAL(18,2) AS total_price,
-       ifnull(freight_sum, 0)::DECIMAL(18,2) AS total_freight,
-       ifnull(paid_sum, 0)::DECIMAL(18,2) AS total_payment
-FROM raw_orders
-JOIN raw_customers USING (customer_id)
-LEFT JOIN (FROM raw_items
-           SELECT order_id, sum(price) AS price_sum, sum(freight_value) AS freight_sum
-           GROUP BY ALL) USING (order_id)
-LEFT JOIN (FROM raw_payments SELECT order_id, sum(payment_value) AS paid_sum
-           GROUP BY ALL) USING (order_id)
+SELECT o.order_id, c.customer_unique_id, o.order_status,
+       o.order_purchase_timestamp AS purchase_timestamp,
+       o.order_approved_at AS approved_timestamp,
+       o.order_delivered_carrier_date AS delivered_carrier_timestamp,
+       o.order_delivered_customer_date AS delivered_customer_timestamp,
+       o.order_estimated_delivery_date AS estimated_delivery_timestamp,
+       CAST(coalesce((SELECT sum(i.price) FROM raw_items i WHERE i.order_id = o.order_id), 0)
+            AS DECIMAL(18,2)) AS total_price,
+       CAST(coalesce((SELECT sum(i.freight_value) FROM raw_items i WHERE i.order_id = o.order_id), 0)
+            AS DECIMAL(18,2)) AS total_freight,
+       CAST(coalesce((SELECT sum(p.payment_value) FROM raw_payments p WHERE p.order_id = o.order_id), 0)
+            AS DECIMAL(18,2)) AS total_payment
+FROM raw_orders o JOIN raw_customers c ON c.customer_id = o.customer_id
 """
 _BLOCKS["valid_orders"] = """
 SELECT *, CAST(date_trunc('month', purchase_timestamp) AS DATE) AS order_month
@@ -173,20 +171,22 @@ def _days(start: str, end: str) -> str:
     return hundredths(f"epoch_us({end}) - epoch_us({start})", "86400000000", 100)
 
 
+# Order states whose parcels are tracked.
+_BLOCKS["tracked_statuses"] = "SELECT * FROM (VALUES ('delivered'), ('shipped')) AS t(order_status)"
 _BLOCKS["fact_deliveries"] = f"""
-SELECT order_id, seller_id, customer_unique_id,
-       placed AS purchase_timestamp,
-       arrived AS delivered_customer_timestamp,
-       promised AS estimated_delivery_timestamp,
-       {_days("placed", "arrived")} AS actual_h,
-       {_days("placed", "promised")} AS estimated_h,
-       {_days("promised", "arrived")} AS difference_h,
-       ifnull(arrived > promised, false)::INTEGER AS is_late
-FROM (SELECT order_id, customer_id, order_purchase_timestamp AS placed,
-             order_delivered_customer_date AS arrived, order_estimated_delivery_date AS promised
-      FROM raw_orders WHERE order_status <> 'canceled')
-JOIN raw_customers USING (customer_id)
-JOIN (SELECT DISTINCT order_id, seller_id FROM raw_items) USING (order_id)
+SELECT o.order_id, i.seller_id, c.customer_unique_id,
+       o.order_purchase_timestamp AS purchase_timestamp,
+       o.order_delivered_customer_date AS delivered_customer_timestamp,
+       o.order_estimated_delivery_date AS estimated_delivery_timestamp,
+       {_days("o.order_purchase_timestamp", "o.order_delivered_customer_date")} AS actual_h,
+       {_days("o.order_purchase_timestamp", "o.order_estimated_delivery_date")} AS estimated_h,
+       {_days("o.order_estimated_delivery_date", "o.order_delivered_customer_date")} AS difference_h,
+       CASE WHEN o.order_delivered_customer_date > o.order_estimated_delivery_date THEN 1 ELSE 0 END
+         AS is_late
+FROM raw_orders o
+JOIN raw_customers c ON c.customer_id = o.customer_id
+JOIN (SELECT DISTINCT order_id, seller_id FROM raw_items) i ON i.order_id = o.order_id
+WHERE o.order_status IN (SELECT order_status FROM tracked_statuses)
 """
 _BLOCKS["milestones"] = """
 SELECT *, (is_late = 1 AND handed_late)::INTEGER AS is_seller_late,
@@ -260,21 +260,31 @@ SELECT customer_unique_id,
        count(*) AS raw_frequency, sum(total_payment) AS raw_monetary
 FROM valid_orders GROUP BY customer_unique_id
 """
+# The score of a purchase count; any greater count scores 4.
+_BLOCKS["frequency_scores"] = "SELECT * FROM (VALUES (1, 1), (2, 3)) AS t(raw_frequency, f_score)"
 _BLOCKS["rfm_scores"] = """
-SELECT *, ntile(4) OVER (ORDER BY raw_recency_days DESC, customer_unique_id) AS r_score,
-       least(2 * raw_frequency - 1, 4) AS f_score,
+SELECT rfm_raw.*, ntile(4) OVER (ORDER BY raw_recency_days DESC, customer_unique_id) AS r_score,
+       coalesce(frequency_scores.f_score, 4) AS f_score,
        ntile(4) OVER (ORDER BY raw_monetary, customer_unique_id) AS m_score
-FROM rfm_raw
+FROM rfm_raw LEFT JOIN frequency_scores USING (raw_frequency)
+"""
+# The segments in the order in which they are tried, with the scores
+# that each admits.
+_BLOCKS["segment_rules"] = """
+SELECT * FROM (VALUES
+  (1, 'Champions',             4, 4, 3, 4, 3, 4),
+  (2, 'Loyal',                 3, 4, 3, 4, 1, 4),
+  (3, 'New / Recent',          3, 4, 1, 1, 1, 4),
+  (4, 'At Risk / Can''t Lose', 1, 2, 3, 4, 1, 4),
+  (5, 'Lost',                  1, 1, 1, 1, 1, 1),
+  (6, 'About to Sleep / Cold', 1, 4, 1, 4, 1, 4)
+) AS t(tried, rfm_segment, r_from, r_to, f_from, f_to, m_from, m_to)
 """
 _BLOCKS["rfm_segments"] = """
-SELECT *, CASE
-  WHEN f_score > 1 THEN
-    CASE WHEN r_score < 3 THEN 'At Risk / Can''t Lose'
-         WHEN r_score + m_score >= 7 AND r_score = 4 THEN 'Champions' ELSE 'Loyal' END
-  WHEN r_score > 2 THEN 'New / Recent'
-  WHEN r_score + m_score = 2 THEN 'Lost'
-  ELSE 'About to Sleep / Cold' END AS rfm_segment
-FROM rfm_scores
+SELECT s.*, (SELECT arg_min(rfm_segment, tried) FROM segment_rules
+             WHERE s.r_score BETWEEN r_from AND r_to AND s.f_score BETWEEN f_from AND f_to
+               AND s.m_score BETWEEN m_from AND m_to) AS rfm_segment
+FROM rfm_scores s
 """
 _BLOCKS["cohorts"] = f"""
 SELECT cohort_month, first_value(n) OVER w AS cohort_size, cohort_index, n AS active_customers,
@@ -366,6 +376,9 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang, source
 _STATEMENTS["S2_normalize_columns"] = """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status FROM orders
 """
+_STATEMENTS["S1_read_two_files"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders
+"""
 _STATEMENTS["S3_load_all"] = """
 SELECT table_name, CAST(sum(n) AS BIGINT) AS row_count FROM (
   SELECT unnest([name, 'TOTAL']) AS table_name, n FROM (
@@ -374,6 +387,9 @@ SELECT table_name, CAST(sum(n) AS BIGINT) AS row_count FROM (
     UNION ALL SELECT 'raw_customers', count(*) FROM raw_customers
     UNION ALL SELECT 'raw_sellers', count(*) FROM raw_sellers
     UNION ALL SELECT 'raw_products', count(*) FROM raw_products
+    UNION ALL SELECT 'raw_order_payments', count(*) FROM raw_payments
+    UNION ALL SELECT 'raw_order_reviews', count(*) FROM raw_reviews
+    UNION ALL SELECT 'raw_geolocation', count(*) FROM nation
     UNION ALL SELECT 'raw_category_translation', count(*) FROM raw_translation
   )
 ) GROUP BY table_name
@@ -397,11 +413,12 @@ UNION ALL SELECT 'duplicate_line_keys', count(*) FROM ({_DUPLICATES})
 """
 _STATEMENTS["Q2_duplicate_keys"] = f"SELECT count(*) AS duplicate_keys FROM ({_DUPLICATES})"
 _STATEMENTS["Q3_missing_profile"] = """
-SELECT count(*) AS total_records, count(*) - count(order_id) AS missing_order_id,
-       count(*) - count(customer_id) AS missing_customer_id,
-       CAST(count_if(ifnull(order_status, '') = '') AS BIGINT) AS missing_order_status,
-       count(*) - count(order_purchase_timestamp) AS missing_purchase_timestamp,
-       count(*) - count(order_delivered_customer_date) AS missing_delivered_date
+SELECT count(*) AS total_records,
+       count(*) FILTER (WHERE order_id IS NULL) AS missing_order_id,
+       count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer_id,
+       count(*) FILTER (WHERE order_status IS NULL OR order_status = '') AS missing_order_status,
+       count(*) FILTER (WHERE order_purchase_timestamp IS NULL) AS missing_purchase_timestamp,
+       count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS missing_delivered_date
 FROM raw_orders
 """
 _STATEMENTS["Q4_category_distribution"] = f"""
@@ -417,7 +434,8 @@ FROM (SELECT CAST(c_acctbal AS DECIMAL(12,2)) AS v FROM customer)
 """
 _STATEMENTS["Q6_missing_category_profile"] = """
 SELECT count(*) AS total_products,
-       CAST(count_if(ifnull(product_category_name, '') = '') AS BIGINT) AS missing_category_name
+       count(*) FILTER (WHERE product_category_name IS NULL OR product_category_name = '')
+         AS missing_category_name
 FROM raw_products
 """
 _STATEMENTS["Q7_unmatched_values"] = """
@@ -438,9 +456,9 @@ SELECT column_name, violations FROM (
 ) WHERE violations > 0
 """
 _STATEMENTS["Q10_check_foreign_key"] = """
-SELECT l_suppkey, count(*) AS n_rows FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
-GROUP BY l_suppkey
+SELECT doc_id, count(*) AS n_rows FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+GROUP BY doc_id
 """
 _STATEMENTS["Q11_check_domain"] = """
 SELECT rule, violations FROM (
@@ -469,7 +487,7 @@ UNION ALL
 SELECT a, b FROM (VALUES
   ('portateis_cozinha_e_preparadores_de_alimentos', 'portable_kitchen_and_food_processors'),
   ('pc_gamer', 'pc_gamer'), ('PROMO', 'replaced')) n(a, b)
-WHERE a NOT IN (SELECT product_category_name FROM raw_translation)
+WHERE NOT EXISTS (SELECT 1 FROM raw_translation WHERE product_category_name = a)
 """
 _STATEMENTS["C2_blank_to_null"] = """
 SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority
@@ -514,6 +532,16 @@ SELECT l_orderkey, {pct("a", "b")} AS pct FROM (
          coalesce(sum(l_quantity) FILTER (WHERE l_linestatus = 'O'), 0) AS b
   FROM lineitem GROUP BY l_orderkey)
 """
+# Both operands in units of 1/10,000: price / 1000 with four decimals, tax / 10.
+_STATEMENTS["C13_ratio_of_long_decimals"] = f"""
+SELECT l_orderkey, l_linenumber, {pct("tax", "fine")} AS pct, {two_places("fine", "tax", 100)} AS quotient
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(round(CAST(l_extendedprice AS DECIMAL(18,4)) * 10) AS BIGINT) AS fine,
+             CAST(round(CAST(l_tax AS DECIMAL(18,3)) * 1000) AS BIGINT) AS tax FROM lineitem)
+"""
+_STATEMENTS["C13_ratio_of_doubles"] = """
+SELECT l_orderkey, l_linenumber, round(round(l_tax / nullif(l_discount, 0), 9), 2) AS quotient FROM lineitem
+"""
 _STATEMENTS["C14_late_flag"] = f"""
 SELECT order_id, CAST(coalesce(order_delivered_customer_date > order_estimated_delivery_date,
                                false) AS INTEGER) AS is_late
@@ -875,8 +903,8 @@ FROM trends
 WHERE trends.order_month BETWEEN DATE '1996-01-01' AND DATE '1998-08-01' GROUP BY trends.order_month
 """
 _STATEMENTS["D10_sla_trend"] = f"""
-SELECT {iso("order_month")} AS order_month, avg_delivery_days, CAST(0 AS INTEGER) AS sla_days,
-       avg_delivery_days > 0 AS breached
+SELECT {iso("order_month")} AS order_month, avg_delivery_days, CAST(1300 AS INTEGER) AS sla_days,
+       avg_delivery_days > 1300 AS breached
 FROM ops_monthly
 WHERE ops_monthly.order_month BETWEEN DATE '1996-01-01' AND DATE '1998-08-01'
 """
@@ -886,6 +914,12 @@ SELECT seller_state || ' ➔ ' || customer_state AS route, {_ROUTE},
          AS primary_driver
 FROM worst ORDER BY {_WORST_ORDER} LIMIT 8
 """
+_STATEMENTS["D11_top_routes_five"] = f"""
+SELECT seller_state || ' ➔ ' || customer_state AS route, {_ROUTE},
+       CASE WHEN carrier_fault_share_pct > 60 THEN 'Carrier Delays' ELSE 'Slow Sellers' END
+         AS primary_driver
+FROM worst ORDER BY {_WORST_ORDER} LIMIT 5
+"""
 _STATEMENTS["D12_delta_direction"] = f"""
 SELECT {iso("order_month")} AS order_month,
        CASE WHEN otd_h - lag(otd_h) OVER w >= 0 THEN 'up'

@@ -12,52 +12,69 @@ from pyspark.sql import functions as F
 
 from tradewind.sources.tables import replace_table
 
-# File pattern of each raw table. The leading star admits any
-# vendor prefix.
+# File of each raw table, after the vendor's prefix.
 RAW_CSV_TABLES = {
-    "*orders_dataset.csv": "raw_orders",
-    "*order_items_dataset.csv": "raw_order_items",
-    "*order_payments_dataset.csv": "raw_order_payments",
-    "*order_reviews_dataset.csv": "raw_order_reviews",
-    "*customers_dataset.csv": "raw_customers",
-    "*products_dataset.csv": "raw_products",
-    "*sellers_dataset.csv": "raw_sellers",
-    "*geolocation_dataset.csv": "raw_geolocation",
-    "product_category_name_translation.csv": "raw_category_translation",
+    "orders_dataset.csv": "raw_orders",
+    "order_items_dataset.csv": "raw_order_items",
+    "order_payments_dataset.csv": "raw_order_payments",
+    "order_reviews_dataset.csv": "raw_order_reviews",
+    "customers_dataset.csv": "raw_customers",
+    "products_dataset.csv": "raw_products",
+    "sellers_dataset.csv": "raw_sellers",
+    "geolocation_dataset.csv": "raw_geolocation",
 }
+# Files that carry no prefix.
+SHARED_CSV_TABLES = {"product_category_name_translation.csv": "raw_category_translation"}
 
 
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """Trim, lower-case and underscore the header; a byte-order mark is dropped.
+def csv_tables(prefix: str = "") -> dict[str, str]:
+    """File name to table name for a vendor's prefix."""
+    return {f"{prefix}{name}": table for name, table in RAW_CSV_TABLES.items()} | SHARED_CSV_TABLES
+
+
+def normalized(names: Iterable[str]) -> list[str]:
+    """Trimmed, lower-case, underscored names; a byte-order mark is dropped.
 
-    Every column is renamed to text by position, so duplicate headers are
-    reported instead of silently merged.
+    Names that become equal are reported instead of silently merged.
     """
-    names = [c.lstrip("\ufeff").strip().lower().replace(" ", "_") for c in df.columns]
+    names = [c.lstrip("\ufeff").strip().lower().replace(" ", "_") for c in names]
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ValueError(f"columns collide after normalisation: {repeated}")
-    return df.toDF(*names)
+    return names
+
+
+def normalize_columns(df: DataFrame) -> DataFrame:
+    """A frame with normalised column names, set by position."""
+    return df.toDF(*normalized(df.columns))
 
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Read a header CSV; every column stays text.
+    """Read a header CSV, or a folder of them; every column stays text.
+
+    The header is read as it stands in the file, so repeated names are reported
+    rather than renamed. All files at the path must have the same header: Spark
+    compares each with the first and fails on another order or other names, as
+    it would else join columns by position.
 
     ``multi_line`` admits quoted line breaks but reads each file in one task.
     For files known to hold none, pass False and Spark splits them; for big
     feeds with line breaks, deliver many files or convert once to Parquet.
     """
-    df = spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        multiLine=multi_line,
-        quote='"',
-        escape='"',
-        encoding="UTF-8",
-        mode="FAILFAST",
-    )
-    return normalize_columns(df)
+    options = {
+        "inferSchema": False,
+        "multiLine": multi_line,
+        "quote": '"',
+        "escape": '"',
+        "encoding": "UTF-8",
+        "mode": "FAILFAST",
+    }
+    first = spark.read.csv(path, header=False, **options).head()
+    if first is None:
+        raise ValueError(f"no header at {path}")
+    names = normalized(c or "" for c in first)
+    df = spark.read.csv(path, header=True, enforceSchema=False, **options)
+    return df.toDF(*names)
 
 
 @dataclass(frozen=True)
@@ -73,19 +90,21 @@ def load_all(
     spark: SparkSession,
     folder: str,
     warehouse: str,
-    table_map: Mapping[str, str] = RAW_CSV_TABLES,
+    prefix: str = "",
+    table_map: Mapping[str, str] | None = None,
     splittable: Iterable[str] = (),
 ) -> LoadResult:
     """Load each CSV of ``table_map`` into a Parquet table below ``warehouse``.
 
-    Missing files are skipped. Tables named in ``splittable`` hold no quoted
-    line breaks and are read in parallel within a file. Counts come from the
-    written Parquet footers, not from a second pass over the text.
+    ``prefix`` is what the vendor puts before the file names. Missing files are
+    skipped and named in the result. Tables named in ``splittable`` hold no
+    quoted line breaks and are read in parallel within a file. Counts come from
+    the written Parquet footers, not from a second pass over the text.
     """
     splittable = set(splittable)
     tables: dict[str, DataFrame] = {}
     missing: list[str] = []
-    for file_name, table in table_map.items():
+    for file_name, table in (csv_tables(prefix) if table_map is None else table_map).items():
         try:
             raw = read_raw_csv(
                 spark, f"{folder.rstrip('/')}/{file_name}", multi_line=table not in splittable

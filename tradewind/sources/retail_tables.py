@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from tradewind.plans.star import StarSchema, build_star
 
-# Amounts of one line are below 105,000 at every scale of the source.
-AMOUNT = T.DecimalType(8, 2)
+AMOUNT = T.DecimalType(12, 2)
 RATE = T.DecimalType(4, 2)
 
 # Order states of the source and their marketplace names.
@@ -55,6 +54,7 @@ SCHEMAS = {
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
         "value double, props string"
     ),
+    "labels": "doc_id bigint, quality int, toxic int",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
@@ -178,11 +178,11 @@ class RetailTables:
 
     @cached_property
     def translation(self) -> DataFrame:
-        """Names for every part type but one, so that one stays unmatched."""
+        """A name for every part type; one is filed under another spelling and stays unmatched."""
+        spelled = F.when(F.col("p_type") == "ECONOMY", "ECONOMY CLASS").otherwise(F.col("p_type"))
         return (
             self.table("part")
-            .where(F.col("p_type") != "ECONOMY")
-            .select(F.col("p_type").alias("product_category_name"))
+            .select(spelled.alias("product_category_name"))
             .distinct()
             .withColumn(
                 "product_category_name_english",

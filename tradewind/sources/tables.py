@@ -25,10 +25,34 @@ def replace_table(
         df = df.hint("rebalance", *partition_by)
     elif rebalance:
         df = df.hint("rebalance")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    # Static: a session's dynamic mode would leave the partitions that are not rewritten.
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
     return df.sparkSession.read.schema(_written_schema(df, partition_by)).parquet(path)
 
 
+def move_table(df: DataFrame, source: str, target: str) -> DataFrame:
+    """Put the table written at ``source`` in the place of ``target`` and return it.
+
+    Two renames within one file system; the old table goes once the new one is there.
+    """
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = path(f"{target}__old")
+    files.delete(old, True)
+    if files.exists(path(target)) and not files.rename(path(target), old):
+        raise OSError(f"could not set {target} aside")
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+    files.delete(old, True)
+    return spark.read.schema(df.schema).parquet(target)
+
+
 def _written_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
     data = [f for f in df.schema.fields if f.name not in partition_by]
     keys = [df.schema[name] for name in partition_by]
