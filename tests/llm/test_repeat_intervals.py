@@ -14,7 +14,8 @@ from tradewind.llm.repeat_intervals import cut_repeats, digests, prefix_interval
 L = 40
 
 
-def expected(rows, length=L):
+def covers(rows, length):
+    """Each text's bytes, and which of them are repeated."""
     seen = collections.defaultdict(list)
     texts = [(t or "").encode() for _, t in rows]
     for r, text in enumerate(texts):
@@ -25,11 +26,18 @@ def expected(rows, length=L):
         if len(places) > 1:
             for r, p in places:
                 covered[r][p : p + length] = True
+    return [(np.frombuffer(t, np.uint8), c) for t, c in zip(texts, covered)]
+
+
+def expected_texts(rows, length=L):
+    return [text[~cover].tobytes().decode("utf-8", "ignore") for text, cover in covers(rows, length)]
+
+
+def expected(rows, length=L):
     out = []
-    for (doc_id, _), text, cover in zip(rows, texts, covered):
-        left = np.frombuffer(text, np.uint8)[~cover].tobytes()
+    for (doc_id, _), (text, cover) in zip(rows, covers(rows, length)):
         runs = int((np.diff(np.concatenate([[0], cover.astype(int)])) == 1).sum())
-        out.append((doc_id, len(text), int(cover.sum()), runs, hashlib.sha256(left).hexdigest()))
+        out.append((doc_id, len(text), int(cover.sum()), runs, hashlib.sha256(text[~cover].tobytes()).hexdigest()))
     return sorted(out, key=str)
 
 
