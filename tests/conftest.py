@@ -8,7 +8,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from tradewind.session import ensure_checkpoint_dir, spark_session  # noqa: E402
+from tradewind.session import delete_scratch, ensure_checkpoint_dir, spark_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
@@ -33,6 +33,7 @@ test_session.__test__ = False
 def spark():
     session = test_session()
     yield session
+    delete_scratch(session)
     session.stop()
 
 

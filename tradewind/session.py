@@ -63,9 +63,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tradewind-{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, which ``delete_scratch`` removes."""
+    path = f"{shared_folder(spark).rstrip('/')}/tradewind-{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Remove what was written to scratch paths so far; frames that read it end there."""
+    configuration = spark._jsc.hadoopConfiguration()
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
