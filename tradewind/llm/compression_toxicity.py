@@ -53,7 +53,7 @@ class Parameters:
     sample_toxic: int = 2500
     sample_ordinary: int = 5000
     sample_bytes: int = 32768
-    particular: float = 8.0
+    particular: float = 20.0
     threshold: float = 0.3
 
 
@@ -205,7 +205,7 @@ def fit(
         for t in texts:
             counts[is_toxic].update({g for w in set(windows(t)) for g in _grams(w)})
     n_toxic, n_ordinary = len(trains[True]), len(trains[False])
-    least = max(3, n_toxic // 300)
+    least = max(3, n_toxic // 250)
     particular = {
         g
         for g, c in counts[True].items()
