@@ -17,11 +17,14 @@ than ``MOST_PAIRED`` of them indexes them by themselves, and the others add sing
 entries that are matched with such documents only.
 
 Candidates. A list of up to ``SHORT_LIST`` classes gives all its pairs. A longer
-one gives the pairs with its first class; when the links found so far leave a
-long list with several components, the pairs between these follow. So a group of
-thousands of near copies is linked without all its pairs, and no link between
-components is lost. Candidates pass a bound on their overlap from bitmaps of the
-sets, and then the sets themselves are compared.
+one gives the pairs with its hub, the class with the most copies, or else with the
+largest share of its shingles in long lists, which is the one that near copies
+have in common. When the links found so far leave a long list with several
+components, the pairs between these follow, each pair in one list only and a list
+in blocks of ``BLOCK`` classes. So a group of thousands of near copies is linked
+without all its pairs, and no link between components is lost. Candidates pass a
+bound on their overlap from bitmaps of the sets, and then the sets themselves are
+compared.
 
 Nothing unbounded is collected or broadcast: the driver sees two bitmaps of
 ``BITMAP_BITS`` bits. Lists are streamed from sorted partitions.
@@ -53,6 +56,7 @@ from tradewind.llm.components import connected_components, stored
 PERCENT = 75
 SHORT_LIST = 32
 MOST_PAIRED = 12
+BLOCK = 2000
 FREQUENT_IN_SLICE = 3
 FREQUENT = 24
 _SLICE = 8 << 20
@@ -218,83 +222,67 @@ def list_candidates(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
     members ``a`` of the long list of that key, with their mark in ``b``."""
     ordered = entries.repartition("key").sortWithinPartitions("key", "node")
 
-    def emit(keys, nodes, sizes, i, j, long_at):
-        a, b = _pairs(nodes, sizes, i, j, percent)
-        pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return _batch(
-            {
-                "long_key": pa.array(
-                    np.concatenate([np.zeros(len(pairs), np.int64), keys[long_at]]),
-                    mask=np.arange(len(pairs) + len(long_at)) < len(pairs),
-                ),
-                "a": pa.array(np.concatenate([pairs[:, 0], nodes[long_at]])),
-                "b": pa.array(np.concatenate([pairs[:, 1], sizes[long_at]])),
-            }
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 3
-        # A list longer than a batch goes on with its first class and its key.
-        open_key, open_node, open_size = None, 0, 0
+        open_key = None  # of a long list that may go on in the next batch
 
         def lists(keys, nodes, sizes, last: bool):
-            nonlocal open_key, open_node, open_size
+            nonlocal open_key
             keep = np.ones(len(keys), bool)
             keep[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
             keys, nodes, sizes = keys[keep], nodes[keep], sizes[keep]
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            starts = np.flatnonzero(new)
             ends = np.append(starts[1:], len(keys)).astype(int)
             rest = [x[:0] for x in (keys, nodes, sizes)]
             if len(starts) and not last and ends[-1] - starts[-1] <= SHORT_LIST and keys[starts[-1]] != open_key:
                 # The last list may go on in the next batch.
                 rest = [x[starts[-1] :] for x in (keys, nodes, sizes)]
                 starts, ends = starts[:-1], ends[:-1]
-            i, j, long_at = [], [], []
-            out = []
+            goes_on = keys[starts] == open_key if open_key is not None else np.zeros(len(starts), bool)
             length = ends - starts
-            for n in np.unique(length[(length > 1) & (length <= SHORT_LIST)]).tolist():
-                # The list that goes on from the batch before is a long one.
-                at = starts[(length == n) & (keys[starts] != open_key if open_key is not None else True)]
+            long = goes_on | (length > SHORT_LIST)
+            if len(starts) and long[-1]:
+                open_key = int(keys[starts[-1]])
+            i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for n in np.unique(length[~long & (length > 1)]).tolist():
+                at = starts[~long & (length == n)]
                 x, y = np.triu_indices(n, 1)
                 i.append((at[:, None] + x).ravel())
                 j.append((at[:, None] + y).ravel())
-            for lo, hi in zip(starts.tolist(), ends.tolist()):
-                goes_on = open_key is not None and keys[lo] == open_key
-                if goes_on:
-                    long_at.append(np.arange(lo, hi))
-                    a, b = _pairs(
-                        np.append(nodes[lo:hi], open_node), np.append(sizes[lo:hi], open_size),
-                        np.full(hi - lo, hi - lo), np.arange(hi - lo), percent,
-                    )
-                    differ = a != b
-                    out.append((a[differ], b[differ]))
-                elif hi - lo > SHORT_LIST:
-                    long_at.append(np.arange(lo, hi))
-                    i.append(np.full(hi - lo - 1, lo))
-                    j.append(np.arange(lo + 1, hi))
-            if len(starts):
-                lo, hi = int(starts[-1]), int(ends[-1])
-                if hi - lo > SHORT_LIST and keys[lo] != open_key:
-                    open_key, open_node, open_size = int(keys[lo]), int(nodes[lo]), int(sizes[lo])
-            empty = [np.zeros(0, np.int64)]
-            result = emit(
-                keys, nodes, sizes,
-                np.concatenate(i or empty), np.concatenate(j or empty), np.concatenate(long_at or empty),
-            )
-            more = [_batch({"long_key": pa.nulls(len(a), pa.int64()), "a": pa.array(a), "b": pa.array(b)}) for a, b in out]
-            return [result, *more], rest
+            a, b = _pairs(nodes, sizes, np.concatenate(i), np.concatenate(j), percent)
+            pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            member = np.repeat(long, length)
+            member = np.concatenate([member, np.zeros(len(keys) - len(member), bool)])
+            none = np.arange(len(pairs) + member.sum()) < len(pairs)
+            result = {
+                "long_key": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), keys[member]]), mask=none),
+                "a": pa.array(np.concatenate([pairs[:, 0], nodes[member]])),
+                "b": pa.array(np.concatenate([pairs[:, 1], sizes[member]])),
+            }
+            return _batch(result), rest
 
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "size")]
-            joined = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-            done, held = lists(*joined, last=False)
-            yield from done
-        done, _ = lists(*held, last=True)
-        yield from done
+            done, held = lists(*[np.concatenate([h, c]) for h, c in zip(held, columns)], last=False)
+            yield done
+        yield lists(*held, last=True)[0]
 
     return ordered.mapInArrow(run, "long_key long, a long, b long")
 
 
+def hub_candidates(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs of each long list's hub with its members. ``members`` has ``long_key, mark, a, n, rank``."""
+    hubs = members.groupBy("long_key").agg(F.max_by(F.struct("a", "mark", "n"), F.struct("rank", "a")).alias("hub"))
+    met = members.join(hubs, "long_key").where(
+        (F.col("a") != F.col("hub.a"))
+        & ((F.col("mark") > 0) | (F.col("hub.mark") > 0))
+        & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
+    )
+    return met.select(F.least("a", "hub.a").alias("a"), F.greatest("a", "hub.a").alias("b")).distinct()
+
+
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps allow enough overlap."""
     side = lambda s: classes.select(
@@ -353,46 +341,107 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(compare, "a long, b long")
 
 
-def _between_components(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the long lists that lie in different components and whose bitmaps allow a link."""
-    labelled = members.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").select(
-        "long_key", "a", "b", F.coalesce("root", "a").alias("root")
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows) brought down to a size: parities of halves add up."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+class _Block:
+    """Members of a long list: nodes, marks, sizes, components, keys (all, and those
+    under which they meet every member) and bitmaps."""
+
+    def __init__(self, rows: list[tuple]):
+        nodes, marks, sizes, roots, self.keys, bits = zip(*rows) if rows else [()] * 6
+        self.nodes, self.marks, self.sizes, self.roots = (
+            np.array(x, np.int64) for x in (nodes, marks, sizes, roots)
+        )
+        self.bits = [np.frombuffer(x, np.uint64) for x in bits]
+        self.words = np.array([len(x) for x in self.bits], np.int64)
+        self._at: dict[int, np.ndarray] = {}
+
+    def at(self, words: int) -> np.ndarray:
+        """All bitmaps of at least that many words, folded; smaller ones are zero."""
+        if words not in self._at:
+            table = np.zeros((len(self.bits), words), np.uint64)
+            for k, x in enumerate(self.bits):
+                if len(x) >= words:
+                    table[k] = _folded(x, words)
+            self._at[words] = table
+        return self._at[words]
+
+    def partners(self, other: "_Block", k: int, percent: int) -> np.ndarray:
+        """Members of this block that may link to member ``k`` of another, of another component."""
+        n = other.sizes[k]
+        least = -(-percent * (n + self.sizes) // (100 + percent))
+        fits = (self.roots != other.roots[k]) & ((self.marks > 0) | (other.marks[k] > 0))
+        fits &= 100 * np.minimum(self.sizes, n) >= percent * np.maximum(self.sizes, n)
+        for words in np.unique(np.minimum(self.words, other.words[k])).tolist():
+            some = np.flatnonzero(fits & (np.minimum(self.words, other.words[k]) == words))
+            differ = np.bitwise_count(self.at(words)[some] ^ _folded(other.bits[k], words)).sum(axis=1)
+            fits[some] = (self.sizes[some] + n - differ.astype(np.int64)) // 2 >= least[some]
+        return np.flatnonzero(fits)
+
+
+def _between_components(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the long lists that lie in different components and whose bitmaps allow a link.
+
+    A pair is given by the least key under which both members may meet. Long lists
+    are cut into blocks, and each pair of blocks is a group of its own.
+    """
+    labelled = members.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn(
+        "root", F.coalesce("root", "a")
     )
-    split = labelled.groupBy("long_key").agg((F.min("root") < F.max("root")).alias("split")).where("split")
-    # Of a list's larger components only whole pairs inside are left out; bitmaps come along.
-    rows = (
-        labelled.join(split.select("long_key"), "long_key", "left_semi")
-        .join(classes.select(F.col("node").alias("a"), "bits"), "a")
-        .repartition("long_key")
-        .sortWithinPartitions("long_key", "root")
+    split = (
+        labelled.groupBy("long_key")
+        .agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), (F.min("root") < F.max("root")).alias("split"))
+        .where("split")
+        .select("long_key", "blocks")
+    )
+    block = F.pmod(F.xxhash64("a"), F.col("blocks"))
+    dealt = (
+        labelled.join(split, "long_key")
+        .withColumn("block", block)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
+        .repartition("long_key", "low", "high")
+        .sortWithinPartitions("long_key", "low", "high")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def pairs(new: list) -> Iterator[pa.RecordBatch]:
-            """Pairs of the new members with the held ones of other components."""
+        def pairs(group: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            key, low, high = group
+            first = _Block([r[1:] for r in rows if r[0] == low])
+            second = first if low == high else _Block([r[1:] for r in rows if r[0] == high])
             a, b = [], []
-            for node, mark, bits, root in new:
-                n = abs(mark)
-                for node2, mark2, bits2, root2 in held:
-                    m = abs(mark2)
-                    if root2 != root and (mark > 0 or mark2 > 0) and 100 * min(n, m) >= percent * max(n, m):
-                        if _links(_most_common(bits, bits2, n, m), n, m, percent):
-                            a.append(min(node, node2))
-                            b.append(max(node, node2))
-                held.append((node, mark, bits, root))
+            for k in range(len(second.bits)):
+                for i in first.partners(second, k, percent).tolist():
+                    if low == high and i >= k:
+                        continue
+                    (all_i, open_i), (all_k, open_k) = first.keys[i], second.keys[k]
+                    if min((all_i & open_k) | (open_i & all_k)) == key:
+                        x, y = int(first.nodes[i]), int(second.nodes[k])
+                        a.append(min(x, y))
+                        b.append(max(x, y))
             if a:
                 yield _batch({"a": pa.array(a), "b": pa.array(b)})
 
+        open_, held = None, []
         for batch in batches:
             x = batch.to_pydict()
-            for k, *row in zip(x["long_key"], x["a"], x["b"], x["bits"], x["root"]):
-                if k != key:
-                    key, held = k, []
-                yield from pairs([row])
+            for key, low, high, block, a, mark, n, root, keys, open_keys, bits in zip(*(x[c] for c in columns)):
+                if (key, low, high) != open_:
+                    if open_:
+                        yield from pairs(open_, held)
+                    open_, held = (key, low, high), []
+                held.append((block, a, mark, n, root, (frozenset(keys), frozenset(open_keys)), bits))
+        if open_:
+            yield from pairs(open_, held)
 
-    return rows.select("long_key", "a", "b", "bits", "root").mapInArrow(run, "a long, b long").distinct()
+    columns = ["long_key", "low", "high", "block", "a", "mark", "n", "root", "keys", "open_keys", "bits"]
+    return dealt.select(columns).mapInArrow(run, "a long, b long").distinct()
 
 
 # --- The join ------------------------------------------------------------
@@ -403,13 +452,26 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
     hot = frequent_shingles(texts)
     found = stored(list_candidates(index_entries(texts, hot, percent), percent), "lists")
     candidates = found.where("long_key IS NULL").select("a", "b")
+    per_class = (
+        found.where("long_key IS NOT NULL")
+        .groupBy("a")
+        .agg(F.collect_list(F.struct("long_key", F.col("b").alias("mark"))).alias("lists"))
+        .join(classes.select(F.col("node").alias("a"), "n", "bits", "copies"), "a")
+        .withColumns(
+            {
+                "keys": F.col("lists.long_key"),
+                "open_keys": F.filter("lists", lambda x: x["mark"] > 0)["long_key"],
+                "rank": F.struct("copies", F.size("lists") / F.col("n")),
+            }
+        )
+    )
+    members = stored(per_class.select(F.inline("lists"), "a", "n", "bits", "keys", "open_keys", "rank"), "members")
+    candidates = candidates.unionByName(hub_candidates(members, percent))
     links = stored(_verified(_bounded(candidates, classes, percent), texts, percent), "links")
-    members = found.where("long_key IS NOT NULL")
     if members.isEmpty():
         return links
-    rest = _between_components(members, classes, connected_components(links), percent)
-    checked = rest.join(links, ["a", "b"], "left_anti")
-    return links.unionByName(stored(_verified(checked, texts, percent), "links"))
+    rest = _between_components(members, connected_components(links), percent)
+    return links.unionByName(stored(_verified(rest, texts, percent), "links"))
 
 
 def join_documents(
@@ -422,7 +484,12 @@ def join_documents(
     classes = stored(
         rows.where("n > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.count("*").alias("copies"),
+            F.first("n").alias("n"),
+            F.first("bits").alias("bits"),
+        ),
         "classes",
     )
     roots = connected_components(similar_classes(texts, classes, percent))
