@@ -73,4 +73,63 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM counted
 """
 
-ORACLES = {"op1_chat_formatting": CHATS, "op5_url_filters": URLS}
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every 400-byte window of every text, and the bytes that the repeated ones cover.
+REPEATS = """
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, encode(coalesce(text, '')) AS said FROM documents
+), windows AS (
+  SELECT row_no, p, md5(said[p:p + 399]) AS h
+  FROM (SELECT row_no, said, unnest(range(1, octet_length(said) - 398)) AS p FROM texts)
+), again AS (
+  SELECT row_no, p FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), runs AS (
+  SELECT row_no, p, sum(opens) OVER (PARTITION BY row_no ORDER BY p) AS run
+  FROM (SELECT row_no, p, CASE WHEN p <= 400 + lag(p) OVER (PARTITION BY row_no ORDER BY p) THEN 0 ELSE 1 END AS opens
+        FROM again)
+), spans AS (
+  SELECT row_no, min(p) AS first, max(p) + 399 AS last FROM runs GROUP BY row_no, run
+), pieces AS (
+  SELECT s.row_no, s.first, s.last, coalesce(lag(s.last) OVER w, 0) + 1 AS kept_from, s.first - 1 AS kept_to
+  FROM spans s WINDOW w AS (PARTITION BY s.row_no ORDER BY s.first)
+), kept AS (
+  SELECT row_no, kept_from, kept_to FROM pieces
+  UNION ALL
+  SELECT row_no, coalesce((SELECT max(last) FROM spans s WHERE s.row_no = t.row_no), 0) + 1, octet_length(said)
+  FROM texts t
+), remains AS (
+  SELECT k.row_no,
+    unhex(string_agg(CASE WHEN kept_to >= kept_from THEN hex(said[kept_from:kept_to]) ELSE '' END, '' ORDER BY kept_from)) AS left_over
+  FROM kept k JOIN texts t ON t.row_no = k.row_no GROUP BY k.row_no
+)
+SELECT doc_id, octet_length(said) AS n_bytes, octet_length(said) - octet_length(left_over) AS n_removed,
+  (SELECT count(*) FROM spans s WHERE s.row_no = t.row_no) AS n_spans, sha256(left_over) AS kept_sha256
+FROM texts t JOIN remains r ON r.row_no = t.row_no
+"""
+
+# Overlaps counted by shared shingles, components by following links.
+NEAR_COPIES = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingles FROM texts
+), members AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT s.doc_id, len(shingles) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, shingles
+"""
+
+ORACLES = {
+    "op1_chat_formatting": CHATS,
+    "op3_suffix_dedup": REPEATS,
+    "op5_url_filters": URLS,
+    "op8_ngram_jaccard_join": NEAR_COPIES,
+}
