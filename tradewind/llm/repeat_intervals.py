@@ -283,25 +283,26 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int =
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.to_pydict()
-            out = []
-            for key, text, said, asked_here in zip(x["__id"], x["__text"], x["text"], x["asked"]):
-                said = said.encode()
-                for a in asked_here:
-                    at, lo, hi = a["at"], a["lo"], a["hi"]
-                    if not a["large"]:
-                        left, right = said[max(0, at - reach) : at], said[at : at + length]
-                        out.append((a["h"], False, left, right, key, text, at, lo, hi, None))
-                    else:
-                        bytes_ = np.frombuffer(said[lo : hi + length], np.uint8)
-                        begins = np.arange(hi - lo + 1)
-                        hashes = word_hashes.range_hashes(word_hashes.prefix_sums(bytes_), begins, begins + length)
-                        for p, w in enumerate(hashes.view(np.int64).tolist()):
-                            out.append((a["h"], True, None, None, key, text, at, lo + p, lo + p, w))
-                if len(out) > 20_000:
-                    yield _context_batch(out)
-                    out = []
-            yield _context_batch(out)
+            for piece in word_hashes.slices(batch, "text"):
+                x = piece.to_pydict()
+                out = []
+                for key, text, said, asked_here in zip(x["__id"], x["__text"], x["text"], x["asked"]):
+                    said = said.encode()
+                    for a in asked_here:
+                        at, lo, hi = a["at"], a["lo"], a["hi"]
+                        if not a["large"]:
+                            left, right = said[max(0, at - reach) : at], said[at : at + length]
+                            out.append((a["h"], False, left, right, key, text, at, lo, hi, None))
+                        else:
+                            bytes_ = np.frombuffer(said[lo : hi + length], np.uint8)
+                            begins = np.arange(hi - lo + 1)
+                            hashes = word_hashes.range_hashes(word_hashes.prefix_sums(bytes_), begins, begins + length)
+                            for p, w in enumerate(hashes.view(np.int64).tolist()):
+                                out.append((a["h"], True, None, None, key, text, at, lo + p, lo + p, w))
+                    if len(out) > 10_000:
+                        yield _context_batch(out)
+                        out = []
+                yield _context_batch(out)
 
     found = stored(
         fetched.select(*_KEY, "text", "asked").mapInArrow(
@@ -358,19 +359,19 @@ def cut_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, kept = [], []
-            for said, found in zip(batch.column(text).to_pylist(), batch.column("__spans").to_pylist()):
-                said = (said or "").encode()
-                cuts = merged([(s["start"], s["end"]) for s in found or ()])
-                places = [0, *(x for cut in cuts for x in cut), len(said)]
-                kept.append(b"".join(said[a:b] for a, b in zip(places[::2], places[1::2])))
-                counts.append((len(said), len(said) - len(kept[-1]), len(cuts)))
-            columns = list(zip(*counts)) or [()] * 3
-            own = [i for i, n in enumerate(batch.schema.names) if n != "__spans"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in own), *(pa.array(c, pa.int64()) for c in columns), pa.array(kept, pa.binary())],
-                names=[*(batch.schema.names[i] for i in own), *added],
-            )
+            for piece in word_hashes.slices(batch, text):
+                counts, kept = [], []
+                for said, found in zip(piece.column(text).to_pylist(), piece.column("__spans").to_pylist()):
+                    said = (said or "").encode()
+                    cuts = merged([(s["start"], s["end"]) for s in found or ()])
+                    places = [0, *(x for cut in cuts for x in cut), len(said)]
+                    kept.append(b"".join(said[a:b] for a, b in zip(places[::2], places[1::2])))
+                    counts.append((len(said), len(said) - len(kept[-1]), len(cuts)))
+                columns = [pa.array(c, pa.int64()) for c in zip(*counts)]
+                names = [n for n in piece.schema.names if n != "__spans"]
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece.column(n) for n in names), *columns, pa.array(kept, pa.binary())], names=[*names, *added]
+                )
 
     own = [f for f in both.schema.fields if f.name != "__spans"]
     counts = [T.StructField(n, T.LongType()) for n in added[:3]]
@@ -394,12 +395,13 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, doc_id: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = [
-                None if t is None else t if not n else k.decode("utf-8", "ignore")
-                for t, n, k in zip(*(batch.column(c).to_pylist() for c in (text, "n_removed", "kept")))
-            ]
-            at = batch.schema.get_field_index(text)
-            yield batch.set_column(at, text, pa.array(said, pa.string())).select(names)
+            for piece in word_hashes.slices(batch, text):
+                said = [
+                    None if t is None else t if not n else k.decode("utf-8", "ignore")
+                    for t, n, k in zip(*(piece.column(c).to_pylist() for c in (text, "n_removed", "kept")))
+                ]
+                at = piece.schema.get_field_index(text)
+                yield piece.set_column(at, text, pa.array(said, pa.string())).select(names)
 
     return cut.select(*names, *[c for c in ("n_removed", "kept") if c not in names]).mapInArrow(
         run, documents.schema
