@@ -30,8 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = compression_toxicity.fit(docs.select("doc_id", "text"), compression_toxicity.learnable(labels))
-    scored = compression_toxicity.score(docs, model)
-    return scored.where("predicted = 0").select(docs.columns)
+    return compression_toxicity.without_toxic(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,7 +90,8 @@ def test_kept_texts_and_columns(spark):
     )
     got = without_repeats(frame, L)
     assert got.columns == frame.columns
-    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "xleft", 2: "right", 3: None}
+    rows = {r["doc_id"]: (r["text"], r["start"], r["n_bytes"]) for r in got.collect()}
+    assert rows == {1: ("xleft", "n", 7), 2: ("right", "m", 8), 3: (None, None, None)}
 
 
 def test_intervals_of_a_prefix_array():

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import MEDIUM
-from tradewind.llm.compression_toxicity import fit, learnable, score
+from tradewind.llm.compression_toxicity import fit, learnable, score, without_toxic
 from tradewind.llm.decontaminate import Index, Parameters, item_parts, leaks, without_leaks
 from tradewind.llm.tables import crc_remainder, read
 
@@ -51,6 +51,9 @@ def test_odd_rows_and_labels(spark):
     marks = spark.createDataFrame([*labels, (3, None), (None, 1), (900, 0), (7, 0)], "doc_id long, toxic int")
     got = score(frame, fit(frame, marks)).collect()
     assert len(got) == len(rows + odd) and {r["toxic"] for r in got} == {"kept"}
+    stay = without_toxic(frame, fit(frame, marks))
+    assert stay.columns == frame.columns and {r["score"] for r in stay.collect()} == {9.0}
+    assert stay.count() == sum(r["predicted"] == 0 for r in got)
     empty = {r["score"] for r in got if r["doc_id"] in (900, 901)}
     assert len(empty) == 1 and empty.pop() < 0.3
     assert score(frame.where("false"), fit(frame, marks)).collect() == []

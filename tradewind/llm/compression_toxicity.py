@@ -227,6 +227,15 @@ def fit(
     return Model(ordinary, toxic, tuple(beta.tolist()), prior)
 
 
+def _scores(column: pa.Array, model: Model) -> np.ndarray:
+    texts = column.to_pylist()
+    if not model.weights:
+        return np.full(len(texts), model.prior)
+    distances = _distances(model.ordinary, model.toxic)
+    z = np.array([np.dot(distances.features(t or ""), model.weights) for t in texts], np.float64)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def score(
     documents: DataFrame, model: Model, parameters: Parameters = Parameters(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -234,27 +243,31 @@ def score(
     threshold = parameters.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distances = _distances(model.ordinary, model.toxic) if model.weights else None
         for batch in batches:
-            scores = []
-            for t in batch.column(text).to_pylist():
-                if distances is None:
-                    scores.append(model.prior)
-                else:
-                    z = float(np.dot(distances.features(t or ""), model.weights))
-                    scores.append(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
-            scores = pa.array(scores, pa.float64())
-            predicted = pa.array([int(s >= threshold) for s in scores.to_pylist()], pa.int32())
-            kept = [i for i, n in enumerate(batch.schema.names) if n not in ("score", "predicted")]
+            scores = _scores(batch.column(text), model)
+            names = [n for n in batch.schema.names if n not in ("score", "predicted")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), scores, predicted],
-                names=[*(batch.schema.names[i] for i in kept), "score", "predicted"],
+                [*map(batch.column, names), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+                names=[*names, "score", "predicted"],
             )
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name not in ("score", "predicted")]
     return documents.mapInArrow(run, ", ".join([*kept, "score double", "predicted int"]))
 
 
+def without_toxic(
+    documents: DataFrame, model: Model, parameters: Parameters = Parameters(), text: str = "text"
+) -> DataFrame:
+    """The documents scored below the threshold, with all columns as they are."""
+    threshold = parameters.threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(text), model) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def learnable(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The label rows that the contract lets a model learn from."""
     return labels.where(crc_remainder(doc_id, 4) != 2)

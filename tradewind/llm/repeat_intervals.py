@@ -336,6 +336,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+_ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
+
+
 def cut_repeats(
     documents: DataFrame,
     length: int = LENGTH,
@@ -347,8 +350,15 @@ def cut_repeats(
 
     The added columns replace columns of the same names.
     """
-    added = ("n_bytes", "n_removed", "n_spans", "kept")
-    keyed = _keyed(documents.drop(*added), doc_id, text)
+    cut = _cut(documents, length, doc_id, text, most_suffixes)
+    own = [c for c in documents.columns if c not in _ADDED]
+    return cut.select(*own, *[F.col(f"__{c}").alias(c) for c in _ADDED])
+
+
+def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixes: int) -> DataFrame:
+    """All columns as they are and the added ones under names of their own."""
+    added = [f"__{c}" for c in _ADDED]
+    keyed = _keyed(documents, doc_id, text)
     texts = keyed.select(*_KEY, F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = stored(repeated_spans(texts, length, most_suffixes).distinct(), "spans")
     per_text = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
@@ -375,7 +385,7 @@ def cut_repeats(
 
     own = [f for f in both.schema.fields if f.name != "__spans"]
     counts = [T.StructField(n, T.LongType()) for n in added[:3]]
-    return both.mapInArrow(run, T.StructType([*own, *counts, T.StructField("kept", T.BinaryType())]))
+    return both.mapInArrow(run, T.StructType([*own, *counts, T.StructField(added[3], T.BinaryType())]))
 
 
 def digests(cut: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -391,18 +401,16 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, doc_id: str = "d
 
     A cut inside a character removes the character's other bytes too; nulls stay null.
     """
-    cut, names = cut_repeats(documents, length, doc_id, text), documents.columns
+    cut, names = _cut(documents, length, doc_id, text, MOST_SUFFIXES), documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in word_hashes.slices(batch, text):
                 said = [
                     None if t is None else t if not n else k.decode("utf-8", "ignore")
-                    for t, n, k in zip(*(piece.column(c).to_pylist() for c in (text, "n_removed", "kept")))
+                    for t, n, k in zip(*(piece.column(c).to_pylist() for c in (text, "__n_removed", "__kept")))
                 ]
                 at = piece.schema.get_field_index(text)
                 yield piece.set_column(at, text, pa.array(said, pa.string())).select(names)
 
-    return cut.select(*names, *[c for c in ("n_removed", "kept") if c not in names]).mapInArrow(
-        run, documents.schema
-    )
+    return cut.select(*names, "__n_removed", "__kept").mapInArrow(run, documents.schema)
