@@ -22,6 +22,9 @@ from tradewind.llm.components import stored
 from tradewind.llm.queries import piece_model, ship_package
 from tradewind.llm.tables import read
 
+# Shortest repeated string that a stage cuts: passages of over 50 words are longer.
+PASSAGE_BYTES = 200
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -42,7 +45,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once."""
     ship_package(spark)
-    return repeat_intervals.without_repeats(docs)
+    return repeat_intervals.without_repeats(docs, PASSAGE_BYTES)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

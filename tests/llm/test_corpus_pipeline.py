@@ -59,7 +59,7 @@ def test_one_of_each_group_stays(outputs):
 def test_repeated_passages_go(outputs):
     before, after = outputs[2]
     rows = list(texts(before).items())
-    assert texts(after) == dict(zip([d for d, _ in rows], expected_texts(rows, 400)))
+    assert texts(after) == dict(zip([d for d, _ in rows], expected_texts(rows, corpus_pipeline.PASSAGE_BYTES)))
 
 
 def test_leaking_documents_go(spark, outputs):
