@@ -45,7 +45,7 @@ _PADDING = b"\0" * 10
 _GRAM = 5
 DISTANCES = tuple(range(1, 9))
 DICTIONARY_BYTES = 8192
-TABLE_SIZE = 500_000
+TABLE_SIZE = 250_000
 
 
 @dataclass(frozen=True)

@@ -223,22 +223,22 @@ def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _concerned(texts: DataFrame, keys: DataFrame, text: str) -> DataFrame:
-    """``texts`` with ``__hit``: false only where the key is not among ``keys``."""
+def _bits_of(texts: DataFrame, keys: DataFrame):
+    """A broadcast bitmap of the text keys among ``keys``."""
     bits = bitmap_of(keys.select(F.xxhash64(*_KEY).alias("key")).distinct())
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-    with_key = texts.withColumn("__key", F.xxhash64(*_KEY))
+    return texts.sparkSession.sparkContext.broadcast(bits)
+
+
+def _concerned(texts: DataFrame, shared) -> DataFrame:
+    """The texts whose key is in the bitmap; others go before anything is shuffled."""
+    names = texts.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("__key")
-            hashes = batch.column(at).to_numpy(zero_copy_only=False).view(np.uint64)
-            columns = [*batch.columns[:at], *batch.columns[at + 1 :], pa.array(has_bit(shared.value, hashes), pa.bool_())]
-            names = [*batch.schema.names[:at], *batch.schema.names[at + 1 :], "__hit"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            hashes = batch.column("__key").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(has_bit(shared.value, hashes), pa.bool_())).select(names)
 
-    schema = T.StructType([*texts.schema.fields, T.StructField("__hit", T.BooleanType())])
-    return with_key.mapInArrow(run, schema)
+    return texts.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(run, texts.schema)
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
@@ -278,7 +278,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int =
     if asked.isEmpty():
         return settled
     per_text = asked.groupBy(*_KEY).agg(F.collect_list(F.struct("h", "large", "at", "lo", "hi")).alias("asked"))
-    fetched = _concerned(long_texts, asked, "text").where("__hit").join(per_text, _KEY)
+    fetched = _concerned(long_texts, _bits_of(long_texts, asked)).join(per_text, _KEY)
     reach = length // 2
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,6 +339,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
+# Bytes, removed bytes, removed runs, and what is left.
+_Cut = tuple[int, int, int, bytes]
+
+
 def cut_repeats(
     documents: DataFrame,
     length: int = LENGTH,
@@ -350,42 +354,52 @@ def cut_repeats(
 
     The added columns replace columns of the same names.
     """
-    cut = _cut(documents, length, doc_id, text, most_suffixes)
-    own = [c for c in documents.columns if c not in _ADDED]
-    return cut.select(*own, *[F.col(f"__{c}").alias(c) for c in _ADDED])
+    own = [f for f in documents.schema.fields if f.name not in _ADDED]
+    counts = [T.StructField(c, T.LongType()) for c in _ADDED[:3]]
 
+    def finish(piece: pa.RecordBatch, cuts: list[_Cut]) -> pa.RecordBatch:
+        names = [f.name for f in own]
+        added = [pa.array([c[k] for c in cuts], pa.int64()) for k in range(3)]
+        kept = pa.array([c[3] for c in cuts], pa.binary())
+        return pa.RecordBatch.from_arrays([*map(piece.column, names), *added, kept], names=[*names, *_ADDED])
 
-def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixes: int) -> DataFrame:
-    """All columns as they are and the added ones under names of their own."""
-    added = [f"__{c}" for c in _ADDED]
+    schema = T.StructType([*own, *counts, T.StructField("kept", T.BinaryType())])
+    return _cut(documents, length, doc_id, text, most_suffixes, finish, schema)
+
+
+def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixes: int, finish, schema) -> DataFrame:
+    """``finish(rows, their cuts)`` over all rows. Texts without a repeat are finished where they
+    lie; the others meet their spans."""
     keyed = _keyed(documents, doc_id, text)
     texts = keyed.select(*_KEY, F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = stored(repeated_spans(texts, length, most_suffixes).distinct(), "spans")
     per_text = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
-    tagged = _concerned(keyed, spans, text)
-    hit = tagged.where("__hit").join(per_text, _KEY, "left").drop("__hit", *_KEY)
-    clean = tagged.where("NOT __hit").drop("__hit", *_KEY)
-    both = hit.unionByName(clean.withColumn("__spans", F.lit(None).cast(per_text.schema["__spans"].dataType)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = _bits_of(keyed, spans)
+    hit = _concerned(keyed, shared).join(per_text, _KEY, "left")
+    names = documents.columns
+
+    def cut(said: str | None, found) -> _Cut:
+        said = (said or "").encode()
+        cuts = merged([(s["start"], s["end"]) for s in found or ()])
+        places = [0, *(x for cut in cuts for x in cut), len(said)]
+        kept = b"".join(said[a:b] for a, b in zip(places[::2], places[1::2]))
+        return len(said), len(said) - len(kept), len(cuts), kept
+
+    def with_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in word_hashes.slices(batch, text):
-                counts, kept = [], []
-                for said, found in zip(piece.column(text).to_pylist(), piece.column("__spans").to_pylist()):
-                    said = (said or "").encode()
-                    cuts = merged([(s["start"], s["end"]) for s in found or ()])
-                    places = [0, *(x for cut in cuts for x in cut), len(said)]
-                    kept.append(b"".join(said[a:b] for a, b in zip(places[::2], places[1::2])))
-                    counts.append((len(said), len(said) - len(kept[-1]), len(cuts)))
-                columns = [pa.array(c, pa.int64()) for c in zip(*counts)]
-                names = [n for n in piece.schema.names if n != "__spans"]
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(n) for n in names), *columns, pa.array(kept, pa.binary())], names=[*names, *added]
-                )
-
-    own = [f for f in both.schema.fields if f.name != "__spans"]
-    counts = [T.StructField(n, T.LongType()) for n in added[:3]]
-    return both.mapInArrow(run, T.StructType([*own, *counts, T.StructField(added[3], T.BinaryType())]))
+                pairs = zip(piece.column(text).to_pylist(), piece.column("__spans").to_pylist())
+                yield finish(piece.select(names), [cut(said, found) for said, found in pairs])
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("__key").to_numpy(zero_copy_only=False).view(np.uint64)
+            clean = batch.filter(pa.array(~has_bit(shared.value, hashes), pa.bool_())).select(names)
+            for piece in word_hashes.slices(clean, text):
+                yield finish(piece, [cut(said, None) for said in piece.column(text).to_pylist()])
+
+    untouched = keyed.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(without, schema)
+    return hit.mapInArrow(with_spans, schema).unionByName(untouched)
 
 
 def digests(cut: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -401,16 +415,13 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, doc_id: str = "d
 
     A cut inside a character removes the character's other bytes too; nulls stay null.
     """
-    cut, names = _cut(documents, length, doc_id, text, MOST_SUFFIXES), documents.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in word_hashes.slices(batch, text):
-                said = [
-                    None if t is None else t if not n else k.decode("utf-8", "ignore")
-                    for t, n, k in zip(*(piece.column(c).to_pylist() for c in (text, "__n_removed", "__kept")))
-                ]
-                at = piece.schema.get_field_index(text)
-                yield piece.set_column(at, text, pa.array(said, pa.string())).select(names)
-
-    return cut.select(*names, "__n_removed", "__kept").mapInArrow(run, documents.schema)
+    def finish(piece: pa.RecordBatch, cuts: list[_Cut]) -> pa.RecordBatch:
+        said = [
+            old if not removed else kept.decode("utf-8", "ignore")
+            for old, (_, removed, _, kept) in zip(piece.column(text).to_pylist(), cuts)
+        ]
+        at = piece.schema.get_field_index(text)
+        return piece.set_column(at, text, pa.array(said, pa.string()))
+
+    return _cut(documents, length, doc_id, text, MOST_SUFFIXES, finish, documents.schema)
