@@ -29,7 +29,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.tables import crc_remainder
+from tradewind.llm.worker_memory import kept
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 # zstandard looks for no match that starts in a window's last bytes, so windows end in padding.
@@ -130,9 +130,8 @@ class Distances:
         return [1.0, float(np.log1p(len(distances))), float(max(distances, default=0)), *np.log1p(reached).tolist()]
 
 
-@lru_cache(maxsize=1)
 def _distances(ordinary: bytes, toxic: bytes) -> Distances:
-    return Distances(ordinary, toxic)
+    return kept(("distances", ordinary, toxic), lambda: Distances(ordinary, toxic))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:

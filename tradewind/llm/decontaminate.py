@@ -33,7 +33,6 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import word_hashes
+from tradewind.llm.worker_memory import kept
 
 BLOCK = 4
 _K1, _B = 1.2, 0.75
@@ -210,9 +210,8 @@ class Index:
         return float(np.isin(part, near).mean()) if len(part) else 1.0
 
 
-@lru_cache(maxsize=1)
 def _index(items: tuple[tuple[int | None, str], ...], parameters: Parameters) -> Index:
-    return Index(items, parameters)
+    return kept(("items", items, parameters), lambda: Index(items, parameters))
 
 
 def leaks(

@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import word_hashes
 from tradewind.llm.bitmaps import bitmap_of, has_bit
 from tradewind.llm.components import connected_components, stored
+from tradewind.llm.worker_memory import lean
 
 PERCENT = 75
 SHORT_LIST = 32
@@ -116,7 +117,7 @@ def frequent_shingles(texts: DataFrame) -> np.ndarray:
                 many = counts >= FREQUENT_IN_SLICE
                 yield _batch({"key": pa.array(keys[many].view(np.int64)), "n": pa.array(counts[many])})
 
-    counted = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(lean(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return bitmap_of(counted.where(F.col("n") >= FREQUENT).select("key"))
 
 
@@ -159,7 +160,7 @@ def describe(texts: DataFrame) -> DataFrame:
                     }
                 )
 
-    return texts.mapInArrow(run, "doc_id long, node long, n long, bits binary")
+    return texts.mapInArrow(lean(run), "doc_id long, node long, n long, bits binary")
 
 
 # --- Index and candidates ------------------------------------------------
@@ -205,7 +206,7 @@ def index_entries(texts: DataFrame, hot: np.ndarray, percent: int = PERCENT) ->
                     }
                 )
 
-    return texts.mapInArrow(run, "key long, node long, size long")
+    return texts.mapInArrow(lean(run), "key long, node long, size long")
 
 
 def _pairs(nodes: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int):
@@ -269,7 +270,7 @@ def list_candidates(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield done
         yield lists(*held, last=True)[0]
 
-    return ordered.mapInArrow(run, "long_key long, a long, b long")
+    return ordered.mapInArrow(lean(run), "long_key long, a long, b long")
 
 
 def hub_candidates(members: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -299,7 +300,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, "b long, a long" if joined.columns[0] == "b" else "a long, b long").select("a", "b")
+    return joined.mapInArrow(lean(run), "b long, a long" if joined.columns[0] == "b" else "a long, b long").select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -323,7 +324,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     }
                 )
 
-    sets = texts.mapInArrow(run, "node long, hashes binary")
+    sets = texts.mapInArrow(lean(run), "node long, hashes binary")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = stored(sets.join(needed, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"set_{s}"))
@@ -338,7 +339,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 keep.append(_links(common, len(p), len(q), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(compare, "a long, b long")
+    return joined.mapInArrow(lean(compare), "a long, b long")
 
 
 def _folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -441,7 +442,7 @@ def _between_components(members: DataFrame, roots: DataFrame, percent: int) -> D
             yield from pairs(open_, held)
 
     columns = ["long_key", "low", "high", "block", "a", "mark", "n", "root", "keys", "open_keys", "bits"]
-    return dealt.select(columns).mapInArrow(run, "a long, b long").distinct()
+    return dealt.select(columns).mapInArrow(lean(run), "a long, b long").distinct()
 
 
 # --- The join ------------------------------------------------------------

@@ -46,8 +46,13 @@ def query(name: str):
     return register
 
 
+# Rows here hold whole texts or sets, so Arrow batches are kept small.
+ARROW_BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per application, for the functions that run there."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_tradewind_shipped", False):
         return

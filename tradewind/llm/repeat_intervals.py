@@ -49,6 +49,7 @@ from pyspark.sql import types as T
 from tradewind.llm import word_hashes
 from tradewind.llm.bitmaps import bitmap_of, has_bit
 from tradewind.llm.components import stored
+from tradewind.llm.worker_memory import lean
 
 LENGTH = 400
 MOST_SUFFIXES = 4096
@@ -122,7 +123,7 @@ def _anchor_rows(texts: DataFrame, length: int, placed: bool) -> DataFrame:
                 yield _batch(out)
 
     schema = "h long, c long" + (", __id long, __text long, at long, lo long, hi long" if placed else "")
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(lean(run), schema)
 
 
 # --- Suffix intervals ----------------------------------------------------
@@ -205,7 +206,7 @@ def _sorted_stretches(contexts: DataFrame, length: int) -> DataFrame:
             yield spans(held)
 
     return ordered.select("h", "left", "right", *_KEY, "at", "lo", "hi").mapInArrow(
-        run, "__id long, __text long, start long, end long"
+        lean(run), "__id long, __text long, start long, end long"
     )
 
 
@@ -238,7 +239,7 @@ def _concerned(texts: DataFrame, shared) -> DataFrame:
             hashes = batch.column("__key").to_numpy(zero_copy_only=False).view(np.uint64)
             yield batch.filter(pa.array(has_bit(shared.value, hashes), pa.bool_())).select(names)
 
-    return texts.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(run, texts.schema)
+    return texts.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(lean(run), texts.schema)
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
@@ -306,7 +307,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int =
 
     found = stored(
         fetched.select(*_KEY, "text", "asked").mapInArrow(
-            contexts,
+            lean(contexts),
             "h long, large boolean, left binary, right binary, __id long, __text long, at long, lo long, hi long, w long",
         ),
         "contexts",
@@ -398,8 +399,8 @@ def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixe
             for piece in word_hashes.slices(clean, text):
                 yield finish(piece, [cut(said, None) for said in piece.column(text).to_pylist()])
 
-    untouched = keyed.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(without, schema)
-    return hit.mapInArrow(with_spans, schema).unionByName(untouched)
+    untouched = keyed.withColumn("__key", F.xxhash64(*_KEY)).mapInArrow(lean(without), schema)
+    return hit.mapInArrow(lean(with_spans), schema).unionByName(untouched)
 
 
 def digests(cut: DataFrame, doc_id: str = "doc_id") -> DataFrame:
