@@ -7,7 +7,7 @@ import pytest
 
 from tests.conftest import MEDIUM
 from tradewind.llm.compression_toxicity import fit, learnable, score, without_toxic
-from tradewind.llm.decontaminate import Index, Parameters, item_parts, leaks, without_leaks
+from tradewind.llm.decontaminate import Index, Parameters, _hashes, item_parts, leaks, without_leaks
 from tradewind.llm.tables import crc_remainder, read
 
 # --- Toxicity ------------------------------------------------------------
@@ -128,3 +128,38 @@ def test_item_parts():
     assert item_parts("Who? Me. ") == ("Who?", " Me. ")
     assert item_parts("a b c") == ("a b", "c")
     assert item_parts("a b c?") == ("a b", "c?")
+
+
+def test_short_answers_and_short_items(documents, spark):
+    rng = random.Random(4)
+    prose = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    items = [
+        (1, "What is the capital of France? Paris"),
+        (2, "Who painted the famous Mona Lisa portrait? Leonardo Vinci"),
+        (3, "Why? Because light of short wavelengths scatters more"),
+        (4, "one two three four five"),
+        (5, "Capital of Spain? Madrid"),
+        (6, "six times seven"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(10 + i, f"{prose(300)} {item} {prose(300)}") for i, item in items]
+    rows += [(20 + i, item) for i, item in items]
+    # The question without its answer, short items in parts or in another order, and a text shorter than they.
+    rows += [(30, f"{prose(200)} What is the capital of France? {prose(400)} Paris"), (31, "Capital of Spain? Lisbon"),
+             (32, "seven times six"), (33, "six times"), (34, f"six {prose(1)} times seven")]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(documents(rows), benchmark).collect()}
+    assert got == {(10 + i, i) for i, _ in items} | {(20 + i, i) for i, _ in items}
+    assert {r["doc_id"] for r in without_leaks(documents(rows), benchmark).collect()} == {30, 31, 32, 33, 34}
+
+
+def test_places_of_a_short_item():
+    parameters = Parameters()
+    index = Index(((1, "six times seven"),), parameters)
+    for n, at in [(3, 0), (95, 46), (97, 46), (97, 94), (300, 47), (300, 140), (300, 297)]:
+        words = [f"v{i}" for i in range(n)]
+        words[at : at + 3] = ["six", "times", "seven"]
+        hashes = np.concatenate([_hashes(w) for w in words])
+        ((row, item, *_, passages, first),) = index.search(hashes, np.array([0, n]))
+        count = max(1, -(-(n - 96) // 48) + 1)
+        holding = [p for p in range(count) if p * 48 <= at and at + 3 <= p * 48 + 96]
+        assert (row, item, passages, first) == (0, 0, len(holding), holding[0] * 48)

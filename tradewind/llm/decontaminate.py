@@ -15,14 +15,18 @@ terms' maxima could reach the threshold, skips the block if the block's maxima
 cannot, and else scores it exactly.
 
 A retrieved item counts when the part of the document around the passage holds
-enough word trigrams of both its question and its answer. An item is split after
-its last question mark, or in the middle if it has none.
+enough word trigrams of both its question and its answer; a part of one or two
+words is looked for as it is, among the words or word pairs there. An item is split
+after its last question mark, or in the middle if it has none.
+
+Items of ``VERBATIM`` words up to ``min_words`` are too short for a threshold: they
+match where the whole item stands word for word.
 
 Only the benchmark is broadcast, in shards of at most ``shard_bytes`` of text,
 each with a pass over the documents; documents are neither shuffled nor cut.
 
-Defined results: items and documents without text, and items with fewer than
-``min_words`` words, match nothing; repeated items are reported each, repeated
+Defined results: items and documents without text, and items of one or two words,
+match nothing; words are compared with their punctuation; repeated items are reported each, repeated
 documents too; ties do not matter, as all at or above the threshold are returned;
 null ids stay null; an empty table gives no rows; extra columns are ignored.
 """
@@ -43,6 +47,7 @@ from tradewind.llm import word_hashes
 from tradewind.llm.worker_memory import kept
 
 BLOCK = 4
+VERBATIM = 3
 _K1, _B = 1.2, 0.75
 _END = 1 << 60
 
@@ -71,9 +76,17 @@ def _hashes(text: str) -> np.ndarray:
     return word_hashes.words(data, offsets)[2]
 
 
-def _trigrams(hashes: np.ndarray) -> np.ndarray:
-    size = min(3, len(hashes))
-    return np.unique(word_hashes.shingles(hashes, np.array([0, len(hashes)]), max(size, 1))[0])
+def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Distinct runs of ``size`` words; none in a shorter sequence."""
+    if len(hashes) < size:
+        return np.zeros(0, np.uint64)
+    return np.unique(word_hashes.shingles(hashes, np.array([0, len(hashes)]), size)[0])
+
+
+def _part(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """Gram size of a question or an answer, and its grams."""
+    size = max(1, min(3, len(hashes)))
+    return size, _grams(hashes, size)
 
 
 class Index:
@@ -82,15 +95,20 @@ class Index:
     def __init__(self, items: tuple[tuple[int | None, str], ...], parameters: Parameters):
         self.items, self.parameters, stride = items, parameters, parameters.stride
         self.item_of, segments, self.parts, self.lengths = [], [], [], []
+        verbatim: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for number, (_, text) in enumerate(items):
             words = _hashes(text)
             self.lengths.append(len(words))
-            self.parts.append([_trigrams(_hashes(p)) for p in item_parts(text)])
+            self.parts.append([_part(_hashes(p)) for p in item_parts(text)])
+            if VERBATIM <= len(words) < parameters.min_words:
+                verbatim[len(words)][int(_grams(words, len(words))[0])].append(number)
             if len(words) >= parameters.min_words:
                 pieces = math.ceil(len(words) / stride)
                 for piece in np.array_split(words, pieces):
                     segments.append(piece)
                     self.item_of.append(number)
+        # Items by their only gram, for each length.
+        self.verbatim = {size: (np.array(sorted(x), np.uint64), x) for size, x in verbatim.items()}
         n = len(segments)
         self.vocabulary = np.unique(np.concatenate(segments)) if n else np.zeros(0, np.uint64)
         counts = [np.unique(np.searchsorted(self.vocabulary, s), return_counts=True) for s in segments]
@@ -155,17 +173,47 @@ class Index:
 
     def search(self, hashes: np.ndarray, bounds: np.ndarray):
         """``(row, item, score, question, answer, passages, first word)`` of all rows' leaks."""
-        if not self.blocks or not len(hashes):
+        if not len(hashes):
             return
+        found: dict[tuple[int, int], list] = {}
+        if self.blocks:
+            self._search_segments(hashes, bounds, found)
+        self._search_verbatim(hashes, bounds, found)
+        for (row, item), (score, question, answer, numbers, start) in sorted(found.items()):
+            yield row, item, score, question, answer, len(numbers), start
+
+    def _passages(self, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's number of passages, and the number of its first.
+
+        Passage p of a row has words p*stride to p*stride+size; the last one reaches the row's end.
+        """
+        stride, size = self.parameters.stride, 2 * self.parameters.stride
+        counts = np.diff(bounds)
+        passages = np.where(counts > 0, np.maximum(1, -(-(counts - size) // stride) + 1), 0)
+        return passages, np.concatenate([[0], np.cumsum(passages)])
+
+    def _search_verbatim(self, hashes: np.ndarray, bounds: np.ndarray, found: dict[tuple[int, int], list]) -> None:
+        stride = self.parameters.stride
+        passages, _ = self._passages(bounds)
+        for size, (wanted, items) in self.verbatim.items():
+            grams, ranges = word_hashes.shingles(hashes, bounds, size)
+            for at in np.flatnonzero(np.isin(grams, wanted)).tolist():
+                row = int(np.searchsorted(ranges, at, side="right")) - 1
+                place = at - int(ranges[row])
+                last = min(place // stride, int(passages[row]) - 1)
+                # The passages that hold the whole item.
+                numbers = [p for p in (last - 1, last) if p >= 0 and place + size <= (p + 2) * stride]
+                for item in items[int(grams[at])]:
+                    old = found.setdefault((row, item), [1.0, 1.0, 1.0, set(), numbers[0] * stride])
+                    old[3].update(numbers)
+
+    def _search_segments(self, hashes: np.ndarray, bounds: np.ndarray, found: dict[tuple[int, int], list]) -> None:
         stride, size = self.parameters.stride, 2 * self.parameters.stride
         term = np.searchsorted(self.vocabulary, hashes)
         term[term == len(self.vocabulary)] = 0
         known = self.vocabulary[term] == hashes
         counts = np.diff(bounds)
-        # Passage p of a row has words p*stride to p*stride+size; the last one reaches the row's end.
-        passages = np.where(counts > 0, np.maximum(1, -(-(counts - size) // stride) + 1), 0)
-        first = np.concatenate([[0], np.cumsum(passages)])
-        total = int(first[-1])
+        passages, first = self._passages(bounds)
         row_of_word = np.repeat(np.arange(len(counts)), counts)[known]
         place = np.arange(len(hashes))[known] - bounds[row_of_word]
         ids = term[known].astype(np.int64)
@@ -187,7 +235,6 @@ class Index:
             stop = ends[min(lo + 511, len(begins) - 1)]
             sums = np.add.reduceat(self.block_max[ids[some[0] : stop]], some - some[0], axis=0)
             alive.append(lo + np.flatnonzero((sums >= self.parameters.threshold - 1e-4).any(axis=1)))
-        found: dict[tuple[int, int], list] = {}
         for a in np.concatenate(alive).tolist():
             number = int(passage[begins[a]])
             for segment, score in self.retrieve(ids[begins[a] : ends[a]].tolist()):
@@ -196,14 +243,12 @@ class Index:
                 start = (number - int(first[row])) * stride
                 lo = int(bounds[row]) + max(0, start - self.lengths[item])
                 hi = min(int(bounds[row + 1]), int(bounds[row]) + start + size + self.lengths[item])
-                near = _trigrams(hashes[lo:hi])
-                question, answer = (self._share(part, near) for part in self.parts[item])
+                near = {n: _grams(hashes[lo:hi], n) for n in {n for n, _ in self.parts[item]}}
+                question, answer = (self._share(part, near[n]) for n, part in self.parts[item])
                 if question >= self.parameters.overlap and answer >= self.parameters.overlap:
                     old = found.setdefault((row, item), [0.0, 0.0, 0.0, set(), start])
                     old[0], old[1], old[2] = max(old[0], score), max(old[1], question), max(old[2], answer)
                     old[3].add(number)
-        for (row, item), (score, question, answer, numbers, start) in sorted(found.items()):
-            yield row, item, score, question, answer, len(numbers), start
 
     @staticmethod
     def _share(part: np.ndarray, near: np.ndarray) -> float:
