@@ -90,3 +90,15 @@ def test_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.collect() == []
+
+
+def test_one_copy_of_repeated_rows_and_null_ids_is_left(spark):
+    said = [" ".join(f"{name}{i}" for i in range(80)) for name in ("row", "null", "same", "near")]
+    rows = [(1, said[0], "en")] * 4 + [(None, said[1], "en")] * 2 + [(None, said[1], "de")]
+    rows += [(1, said[2], "en"), (7, said[2], "en"), (None, said[3], "en"), (None, said[3] + " end", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    left = corpus_pipeline.one_of_each(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    got = [r["text"] for r in corpus_pipeline.cut_passages(spark, stored(left, "left"), SMALL).collect()]
+    assert len(got) == 4
+    assert sorted(t.removesuffix(" end") for t in got) == sorted(said)

@@ -85,6 +85,22 @@ def test_first_of_each_component_keeps_columns(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4]
 
 
+def test_first_of_each_component_picks_rows(spark):
+    long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long, "x")] * 3 + [(1, other, "x"), (1, other, "y"), (0, other + " end", "z")]
+    rows += [(None, long, "n"), (None, "only null ids here", "a"), (None, "only null ids here", None)]
+    rows += [(None, None, "e"), (None, None, "e"), (2, " \t", "e")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row_key string").repartition(4)
+    got = first_of_each_component(frame)
+    assert got.columns == frame.columns
+    got = [tuple(r) for r in got.collect()]
+    assert sorted(r for r in got if r[0] is not None) == [(0, other + " end", "z"), (1, long, "x"), (2, " \t", "e")]
+    nulls = sorted((r for r in got if r[0] is None), key=str)
+    assert len(nulls) == 3 and nulls[1:] == [(None, None, "e")] * 2 and nulls[0][1] == "only null ids here"
+    again = first_of_each_component(frame.repartition(3)).collect()
+    assert sorted(map(str, map(tuple, again))) == sorted(map(str, got))
+
+
 def test_bitmap_bound_never_excludes_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):

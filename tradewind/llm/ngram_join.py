@@ -46,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import word_hashes
@@ -144,7 +144,8 @@ def _links(common: int, n_a: int, n_b: int, percent: int) -> bool:
 
 
 def describe(texts: DataFrame) -> DataFrame:
-    """``doc_id, node, n, bits`` of every row: its class, set size and bitmap."""
+    """``node, n, bits`` of every row: its class, set size and bitmap, beside its other columns (long) than ``text``."""
+    others = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,14 +154,14 @@ def describe(texts: DataFrame) -> DataFrame:
                 bits = [_set_bitmap(values[a:b]) if b > a else None for a, b in zip(ranges[:-1], ranges[1:])]
                 yield _batch(
                     {
-                        "doc_id": piece.column("doc_id"),
+                        **{c: piece.column(c) for c in others},
                         "node": pa.array(_nodes(values, ranges)),
                         "n": pa.array(np.diff(ranges)),
                         "bits": pa.array(bits, pa.binary()),
                     }
                 )
 
-    return texts.mapInArrow(lean(run), "doc_id long, node long, n long, bits binary")
+    return texts.mapInArrow(lean(run), ", ".join([*(f"{c} long" for c in others), "node long, n long, bits binary"]))
 
 
 # --- Index and candidates ------------------------------------------------
@@ -475,11 +476,8 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
     return links.unionByName(stored(_verified(rest, texts, percent), "links"))
 
 
-def join_documents(
-    documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
-    texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _rows_and_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of ``describe``, and ``node, rep, copies, n, bits`` of their classes with shingles."""
     rows = stored(describe(texts), "classes")
     # Every doc_id of a class, but a class once: the copies are summed before the shuffle.
     classes = stored(
@@ -493,6 +491,15 @@ def join_documents(
         ),
         "classes",
     )
+    return rows, classes
+
+
+def join_documents(
+    documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row."""
+    texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, classes = _rows_and_classes(texts)
     roots = connected_components(similar_classes(texts, classes, percent))
     rooted = classes.select("node", "rep").join(roots, "node", "left")
     linked = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
@@ -508,9 +515,41 @@ def join_documents(
     )
 
 
+def _row_key(rows: DataFrame) -> Column:
+    """A 64-bit hash of a row's values. It leaves maps out, which have no hash, and tells a null from no value."""
+    names = [(F.col(f"`{f.name}`"), "map<" in f.dataType.simpleString()) for f in rows.schema.fields]
+    return F.xxhash64(*(c for c, has_map in names if not has_map), *(c.isNull() for c, _ in names))
+
+
 def first_of_each_component(documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id") -> DataFrame:
-    """The document with the least id of each component, with all columns; those with a null id stay."""
-    kept = join_documents(documents, percent, doc_id).where(F.col("doc_id") == F.col("component_id"))
-    ids = kept.select(F.col("doc_id").alias(doc_id)).distinct()
-    stay = documents.join(ids, doc_id, "left_semi")
-    return stay.unionByName(documents.where(F.col(doc_id).isNull()))
+    """One row of each component, with all columns: that with the least id, a null being the
+    last, and of several the one with the least hash. Rows without words all stay."""
+    key = "row_key"
+    while key in documents.columns:
+        key += "_"
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = documents.withColumn(key, _row_key(documents))
+    texts = keyed.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(key).alias("row_key"), "text")
+    rows, classes = _rows_and_classes(texts)
+    roots = connected_components(similar_classes(texts.select("doc_id", "text"), classes, percent))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "times")).alias("first")
+    of_class = (
+        rows.where("n > 0")
+        .groupBy("node", "doc_id", "row_key")
+        .agg(F.count("*").alias("times"))
+        .groupBy("node")
+        .agg(first)
+        .join(roots, "node", "left")
+    )
+    chosen = stored(
+        of_class.groupBy(F.coalesce("root", "node").alias("component"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row_key").alias(key), "first.times"),
+        "chosen",
+    )
+    stay = keyed.where(worded).join(chosen.where("times = 1").select(key), key, "left_semi")
+    repeated = chosen.where("times > 1").select(key)
+    if not repeated.isEmpty():
+        # Rows that are equal in all columns have no key of their own.
+        stay = stay.unionByName(keyed.where(worded).join(repeated, key, "left_semi").dropDuplicates([key]))
+    return stay.select(documents.columns).unionByName(documents.where(~worded))
