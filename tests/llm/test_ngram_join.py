@@ -11,7 +11,7 @@ import pytest
 from tests.llm.conftest import shingle_set
 from tradewind.llm import ngram_join
 from tradewind.llm.components import connected_components
-from tradewind.llm.ngram_join import first_of_each_component, join_documents
+from tradewind.llm.ngram_join import first_of_each_component, join_documents, link_counts
 
 
 def expected(rows):
@@ -58,6 +58,19 @@ def test_components_equal_all_pairs(documents):
     assert joined(documents(rows)) == expected(rows)
 
 
+def test_link_counts_equal_all_pairs(documents):
+    rows = [*fixture(), (300, None), (301, "")]
+    sets = {d: shingle_set(t) for d, t in rows}
+    want = dict.fromkeys(sets, 0)
+    for a, b in itertools.combinations(sets, 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= 75 * len(x | y):
+            want[a] += 1
+            want[b] += 1
+    got = {r["doc_id"]: r["n_links"] for r in link_counts(documents(rows)).collect()}
+    assert got == want and max(want.values()) > ngram_join.SHORT_LIST
+
+
 def test_threshold_is_met_exactly(documents):
     # 7 shingles; sharing 6 of 8 is 75 percent, 5 of 9 is less.
     words = [f"w{i}" for i in range(11)]

@@ -22,7 +22,8 @@ largest share of its shingles in long lists, which is the one that near copies
 have in common. When the links found so far leave a long list with several
 components, the pairs between these follow, each pair in one list only and a list
 in blocks of ``BLOCK`` classes. So a group of thousands of near copies is linked
-without all its pairs, and no link between components is lost. Candidates pass a
+without all its pairs, and no link between components is lost; ``link_counts`` looks at all pairs
+of long lists in this way. Candidates pass a
 bound on their overlap from bitmaps of the sets, and then the sets themselves are
 compared.
 
@@ -449,8 +450,8 @@ def _between_components(members: DataFrame, roots: DataFrame, percent: int) -> D
 # --- The join ------------------------------------------------------------
 
 
-def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between classes; within a component they connect it, and need not be all."""
+def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT, whole: bool = False) -> DataFrame:
+    """Links ``a, b`` between classes; within a component they connect it, and are all only if ``whole``."""
     hot = frequent_shingles(texts)
     found = stored(list_candidates(index_entries(texts, hot, percent), percent), "lists")
     candidates = found.where("long_key IS NULL").select("a", "b")
@@ -472,7 +473,13 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
     links = stored(_verified(_bounded(candidates, classes, percent), texts, percent), "links")
     if members.isEmpty():
         return links
-    rest = _between_components(members, connected_components(links), percent)
+    if whole:
+        # Every class apart from every other: all pairs of the long lists.
+        roots = classes.select("node", F.col("node").alias("root"))
+        found = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = _between_components(members, roots, percent).join(found, ["a", "b"], "left_anti")
+    else:
+        rest = _between_components(members, connected_components(links), percent)
     return links.unionByName(stored(_verified(rest, texts, percent), "links"))
 
 
@@ -515,6 +522,32 @@ def join_documents(
     )
 
 
+def link_counts(
+    documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id, n_links`` of every row: how many other rows it links to, copies included.
+
+    All pairs of a group of near copies are looked at, so this grows with its square.
+    """
+    texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, classes = _rows_and_classes(texts)
+    links = similar_classes(texts, classes, percent, whole=True)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = (
+        both.join(classes.select(F.col("node").alias("b"), "copies"), "b")
+        .groupBy(F.col("a").alias("node"))
+        .agg(F.sum("copies").alias("linked"))
+    )
+    counts = classes.join(linked, "node", "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    )
+    return (
+        rows.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+        .join(counts, "node", "left")
+        .select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    )
+
+
 def _row_key(rows: DataFrame) -> Column:
     """A 64-bit hash of a row's values. It leaves maps out, which have no hash, and tells a null from no value."""
     names = [(F.col(f"`{f.name}`"), "map<" in f.dataType.simpleString()) for f in rows.schema.fields]
