@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from tradewind.llm.url_vocabulary import Vocabulary, judge_urls
+from tradewind.llm.url_vocabulary import DEFAULT_VOCABULARY, Vocabulary, judge_urls
 
 VOCABULARY = Vocabulary(strict=("casino", "cas"), soft=("spam", "ads", "win"), soft_limit=2)
 
@@ -57,3 +57,15 @@ def test_empty_vocabulary_and_table(spark):
     got = judge_urls(pages, rules={}, vocabulary=Vocabulary((), ())).collect()
     assert [(r["page_id"], r["verdict"]) for r in got] == [(None, "allow")]
     assert judge_urls(pages.where("false")).collect() == []
+
+
+def test_default_vocabulary_knows_topics_and_inflections(spark):
+    spam = ["best-casinos.com/", "discount-pharmacy.com/", "shop.com/buy/viagra", "betting-odds.com/", "a.com/payday-loans",
+            "nude-webcams.com/", "lucky-winners.com/prizes", "a.com/cheapest/pills", "x.com/keygens/"]
+    plain = ["pharmacy.edu/", "adult-education.edu/", "news.com/essex", "farm.com/", "a.com/alphabets", "a.com/scunthorpe/analysis"]
+    rows = [(i, f"http://{u}") for i, u in enumerate(spam + plain)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = [r["verdict"] for r in judge_urls(pages, rules={}).orderBy("page_id").collect()]
+    assert got == ["block"] * len(spam) + ["allow"] * len(plain)
+    terms = DEFAULT_VOCABULARY.strict + DEFAULT_VOCABULARY.soft
+    assert len(terms) == len(set(terms)) and all(t == t.lower() for t in terms)

@@ -44,10 +44,50 @@ class Vocabulary:
     soft_limit: int = 2
 
 
-DEFAULT_VOCABULARY = Vocabulary(
-    strict=("spam-farm", "ads-track", "porn", "xxx", "casino", "malware", "phishing", "warez"),
-    soft=("spam", "ads", "track", "tracker", "click", "promo", "free", "win", "bet", "adult", "farm", "sale"),
-)
+# Terms that hardly stand in an ordinary url.
+_STRICT = """
+spam-farm ads-track link-farm linkfarm doorway-page clickbait clickfraud
+porn porno pornos pornography pornographic pornstar pornstars xxx xrated x-rated hentai milf milfs camgirl camgirls
+camsex sexcam sexcams sexchat sextape sextapes sexshop sexshops hardcore-sex nsfw nudes blowjob blowjobs handjob
+handjobs cumshot cumshots creampie gangbang gangbangs bukkake threesome threesomes upskirt upskirts voyeurism dildo
+dildos vibrators fetishes bdsm erotica escort-service escort-services call-girls callgirl callgirls hookups
+adult-chat adult-content adult-dating adult-entertainment adult-film adult-films adult-movie adult-movies
+adult-site adult-sites adult-toys adult-video adult-videos adultchat adultdating adultvideo adultvideos
+casino casinos online-casino sportsbook sportsbooks bookmaker bookmakers bookie bookies blackjack baccarat roulette
+slot-machine slot-machines slotmachine slotmachines free-spins freespins betting-tips bettingtips no-deposit
+jackpots gambling gamblers online-poker video-poker
+viagra cialis levitra sildenafil tadalafil vardenafil kamagra xanax valium ambien tramadol oxycontin oxycodone
+hydrocodone vicodin percocet adderall modafinil phentermine clenbuterol anabolic steroids-online onlinepharmacy
+online-pharmacy online-pharmacies canadian-pharmacy no-prescription without-prescription cheap-meds cheapmeds
+diet-pills dietpills weight-loss-pills penis-enlargement
+malware phishing phish spyware ransomware keylogger keyloggers adware botnet botnets trojans rootkit rootkits
+warez keygen keygens crackz serialz nulled nulled-scripts cracked-software torrentz carding carders cvv-shop
+fullz stolen-cards fake-id fake-ids fake-passports
+payday-loan payday-loans paydayloan paydayloans get-rich-quick make-money-fast work-from-home-jobs
+replica-watches replica-handbags replicawatches fake-rolex essay-mill buy-backlinks buy-followers buy-likes
+""".split()
+
+# Terms that ordinary urls hold too, one at a time.
+_SOFT = """
+spam spams spammer spammers ads ad-click adserver adservers popup popups popunder popunders
+track tracker trackers click clicks promo promos promotion promotions sponsored affiliate affiliates
+free freebie freebies giveaway giveaways win winner winners prize prizes reward lucky bonus bonuses coupon coupons
+voucher vouchers discount discounts discounted cheap cheaper cheapest bargain bargains sale deals offers clearance
+bet bets betting bettor bettors wager wagers wagering gamble gambles gambler odds poker slot slots bingo lotto
+lottery lotteries jackpot stakes tipster tipsters raffle raffles sweepstake sweepstakes
+adult adults sex sexy sexual nude nudity naked erotic escort escorts fetish lingerie swinger swingers webcam webcams
+cam cams hot babe babes dating singles hookup kinky strip stripper strippers mature amateur amateurs teen teens
+pill pills pharma pharmacy pharmacies drug drugs drugstore drugstores med meds medication medications prescription
+prescriptions rx tablets capsules steroid steroids opioid opioids painkiller painkillers supplement supplements
+slimming weightloss detox miracle cure cures
+loan loans payday lender lenders cash credit debt debts mortgage mortgages forex binary crypto bitcoin bitcoins
+investment profit profits earn earnings income rich millionaire
+farm crack cracks cracked hack hacks hacked hacker hackers pirated piracy torrent torrents serials
+replica replicas counterfeit counterfeits knockoff knockoffs fake fakes
+backlink backlinks followers traffic seo bulk
+""".split()
+
+DEFAULT_VOCABULARY = Vocabulary(strict=tuple(_STRICT), soft=tuple(_SOFT))
 
 
 def split_url(url):
