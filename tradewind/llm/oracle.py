@@ -127,9 +127,98 @@ SELECT s.doc_id, len(shingles) AS n_shingles, min(r.other) AS component_id
 FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, shingles
 """
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINES = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(items) AS line, unnest(range(len(items))) AS place
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS items FROM documents)
+), keyed AS (
+  SELECT *, {_LOWER.format(f"trim(line, {_BLANKS})")} AS line_key FROM lines
+), repeated AS (
+  SELECT line_key, max(doc_id) AS newest FROM keyed WHERE length(line_key) >= 20
+  GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, coalesce(k.doc_id < r.newest, false) AS dropped
+  FROM keyed k LEFT JOIN repeated r ON r.line_key = k.line_key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+# The polynomial of crc32, bits reversed.
+_CRC = "3988292384"
+
+# Pairs of equal words q apart; stretches of them are runs, named by their least q.
+PERIODS = rf"""
+WITH hashed AS (
+  SELECT doc_id, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * {_CRC}))), 4294967295) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+  FROM documents
+), placed AS (
+  SELECT doc_id, h, w, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed
+), sized AS (
+  SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed
+), said AS (
+  SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM sized)
+), equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM said x JOIN said y ON y.doc_id = x.doc_id AND y.word = x.word AND y.i > x.i
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+  GROUP BY doc_id, q, island
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= 6 AND length >= 4 * q
+  GROUP BY doc_id, start, length
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS list
+  FROM runs GROUP BY doc_id
+), best AS (
+  SELECT DISTINCT ON (r.doc_id) r.* FROM runs r
+  WHERE NOT EXISTS (SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND o.length * r.period > r.length * o.period)
+  ORDER BY r.doc_id, r.start, r.period
+), left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM said s
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = s.doc_id AND s.i >= r.start + r.period AND s.i < r.start + r.length)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(list, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id
+LEFT JOIN left_over k ON k.doc_id = d.doc_id
+"""
+
+NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i]))::BIGINT AS score
+  FROM vectors a JOIN vectors r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLES = {
     "op1_chat_formatting": CHATS,
     "op3_suffix_dedup": REPEATS,
     "op5_url_filters": URLS,
     "op8_ngram_jaccard_join": NEAR_COPIES,
+    "op11_line_dedup": LINES,
+    "op12_periodic_runs": PERIODS,
+    "op13_hard_negatives": NEGATIVES,
 }

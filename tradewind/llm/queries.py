@@ -17,8 +17,11 @@ from tradewind.llm import (
     class_ngrams,
     compression_toxicity,
     decontaminate,
+    hard_negatives,
     license_index,
+    line_runs,
     ngram_join,
+    periodic_runs,
     piece_tokenizer,
     repeat_intervals,
     sketch_fingerprint,
@@ -135,3 +138,21 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_sentencepiece")
 def sentencepiece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return piece_tokenizer.encode_documents(read(spark, folder, "documents"), piece_model())
+
+
+@query("op11_line_dedup")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_runs.digests(line_runs.dedupe_lines(read(spark, folder, "documents").select("doc_id", "text")))
+
+
+@query("op12_periodic_runs")
+def runs_of_words(spark: SparkSession, folder: str) -> DataFrame:
+    repeating = periodic_runs.with_periods(read(spark, folder, "documents"))
+    return periodic_runs.digests(periodic_runs.collapse_runs(repeating))
+
+
+@query("op13_hard_negatives")
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = read(spark, folder, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(hard_negatives.scaled_vectors(embeddings), F.col("id") % 50 == 0)
