@@ -114,6 +114,29 @@ def test_days_between_rounds_half_away_from_zero(values):
     ]
 
 
+def test_quotients_are_exact(spark, values):
+    pairs = [
+        ("1.00499999996", 1), ("1.005", 1), ("-1.005", 1), ("90071992547409931", 100), (1, 3), (5, 0), (None, 2), (2, None),
+    ]
+    rows = [(k, *(None if x is None else Decimal(x) for x in pair)) for k, pair in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "k int, a decimal(32,11), b decimal(20,0)")
+    assert column(df, fn.ratio(F.col("a"), F.col("b"))) == [
+        Decimal(x) if x else None
+        for x in ("1.00", "1.01", "-1.01", "900719925474099.31", "0.33", None, None, None)
+    ]
+    assert column(df, fn.safe_ratio_pct(F.col("b"), F.col("a")))[3:5] == [Decimal("0.00"), Decimal("300.00")]
+    doubles = values("k int, a double, b double", "(1, 1.00499999996, 1), (2, 0.285, 1), (3, 0.06, 0.16), (4, 0.1, 3)")
+    assert column(doubles, fn.ratio(F.col("a"), F.col("b"))) == [
+        Decimal(x) for x in ("1.00", "0.29", "0.38", "0.03")
+    ]
+
+
+def test_quotients_that_do_not_fit_stop(spark):
+    df = spark.createDataFrame([(Decimal(9 * 10**19), Decimal("0.5"))], "a decimal(38,6), b decimal(10,6)")
+    with pytest.raises(Exception, match="more than 18 digits"):
+        df.select(fn.ratio(F.col("a"), F.col("b"))).collect()
+
+
 def test_ratios(values):
     df = values("k int, a bigint, b bigint", "(1, 1, 3), (2, 1, 0), (3, -1, 8), (4, NULL, 2)")
     assert column(df, fn.safe_ratio_pct(F.col("a"), F.col("b"))) == [

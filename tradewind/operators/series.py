@@ -28,7 +28,9 @@ def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     The total is a scalar subquery: one row whatever the input's size, so this
     works on any frame, not only on aggregated ones.
     """
-    return df.withColumn(name, safe_ratio_pct(F.col(value), scalar_of(df, F.sum(value))))
+    # A column of its own, as the quotient mentions its operands several times.
+    with_total = df.withColumn("_total", scalar_of(df, F.sum(value)))
+    return with_total.withColumn(name, safe_ratio_pct(F.col(value), F.col("_total"))).drop("_total")
 
 
 def rolling_sums(

@@ -542,6 +542,17 @@ FROM (SELECT l_orderkey, l_linenumber,
 _STATEMENTS["C13_ratio_of_doubles"] = """
 SELECT l_orderkey, l_linenumber, round(round(l_tax / nullif(l_discount, 0), 9), 2) AS quotient FROM lineitem
 """
+_NEAR_A_TIE = "n * CAST(100000000000 AS HUGEINT) + 499999996"
+_LARGE = hundredths("n + CAST(90071992547409931 AS HUGEINT)", "100", 100)
+_STATEMENTS["C13_ratio_near_ties"] = f"""
+SELECT l_orderkey, l_linenumber,
+       {two_places(_NEAR_A_TIE, "CAST(100000000000 AS HUGEINT)", 100)} AS below,
+       {two_places("-(n * 1000 + 5)", "1000", 100)} AS tie,
+       {two_places(_NEAR_A_TIE, "CAST(100000000000 AS HUGEINT)", 100)} AS below_as_double,
+       CAST({_LARGE} // 100 AS VARCHAR) || '.' || lpad(CAST({_LARGE} % 100 AS VARCHAR), 2, '0') AS large,
+       {pct("n", "CAST(90071992547409931 AS HUGEINT)")} AS small_pct
+FROM (SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS n FROM lineitem)
+"""
 _STATEMENTS["C14_late_flag"] = f"""
 SELECT order_id, CAST(coalesce(order_delivered_customer_date > order_estimated_delivery_date,
                                false) AS INTEGER) AS is_late

@@ -6,6 +6,7 @@ Results are in extract form: decimals as doubles, dates as ISO text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -375,6 +376,22 @@ def _(t):
     )
 
 
+@query("C13_ratio_near_ties")
+def _(t):
+    """Quotients a hair below a tie, on one, and with more digits than a double has."""
+    number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    below, tie, large = (F.lit(Decimal(x)) for x in ("0.00499999996", "0.005", "90071992547409931"))
+    return t.table("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        fn.ratio(number + below, F.lit(1)).alias("below"),
+        fn.ratio(-(number + tie), F.lit(1)).alias("tie"),
+        fn.ratio((number + below).cast("double"), F.lit(1)).alias("below_as_double"),
+        fn.ratio(large + number, F.lit(100)).cast("string").alias("large"),
+        fn.safe_ratio_pct(number, large).alias("small_pct"),
+    )
+
+
 @query("C14_late_flag")
 def _(t):
     return t.orders.select(
