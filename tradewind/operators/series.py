@@ -33,6 +33,12 @@ def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     return with_total.withColumn(name, safe_ratio_pct(F.col(value), F.col("_total"))).drop("_total")
 
 
+def share_of_rows(df: DataFrame, value: str, name: str) -> DataFrame:
+    """The same for a handful of aggregated rows, which are not computed twice for it."""
+    with_total = df.withColumn("_total", F.sum(value).over(Window.partitionBy()))
+    return with_total.withColumn(name, safe_ratio_pct(F.col(value), F.col("_total"))).drop("_total")
+
+
 def rolling_sums(
     df: DataFrame, order: str, columns: Sequence[str], rows: int = 12, prefix: str = "ltm"
 ) -> DataFrame:

@@ -20,8 +20,8 @@ from tradewind.functions import (
     whole_days,
 )
 from tradewind.operators.joins import scalar_of
-from tradewind.operators.ranking import distributed_ntile
-from tradewind.operators.series import share_of_total, top_rows
+from tradewind.operators.ranking import distributed_ntiles
+from tradewind.operators.series import share_of_rows, share_of_total, top_rows
 from tradewind.plans.kpis import (
     EXCLUDED_STATUSES,
     SCORE,
@@ -75,14 +75,12 @@ def rfm_segmentation(
     by fixed steps because nearly every customer orders once.
     """
     customer = F.asc("customer_unique_id")
-    scored = distributed_ntile(
+    scored = distributed_ntiles(
         rfm_raw(fact_orders, excluded),
-        tiles,
-        [F.desc_nulls_first("raw_recency_days"), customer],
-        "r_score",
-    )
-    scored = distributed_ntile(
-        scored, tiles, [F.asc_nulls_last("raw_monetary"), customer], "m_score"
+        {
+            "r_score": (tiles, [F.desc_nulls_first("raw_recency_days"), customer]),
+            "m_score": (tiles, [F.asc_nulls_last("raw_monetary"), customer]),
+        },
     )
     steps = F.when(F.col("raw_frequency") == 1, 1).when(F.col("raw_frequency") == 2, 3)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
@@ -114,8 +112,8 @@ def rfm_summary(segments: DataFrame) -> DataFrame:
         F.sum("raw_monetary").alias("total_revenue"),
         F.count("raw_monetary").alias("_spenders"),
     )
-    shared = share_of_total(grouped, "customer_count", "customer_share_pct")
-    shared = share_of_total(shared, "total_revenue", "revenue_share_pct")
+    shared = share_of_rows(grouped, "customer_count", "customer_share_pct")
+    shared = share_of_rows(shared, "total_revenue", "revenue_share_pct")
     return shared.select(
         "rfm_segment",
         "customer_count",

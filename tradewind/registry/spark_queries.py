@@ -659,8 +659,9 @@ def _(t):
 def _(t):
     orders = t.table("orders").select("o_orderkey", F.col("o_totalprice"))
     key = F.asc("o_orderkey")
-    cheap = ranking.distributed_ntile(orders, 4, [F.asc("o_totalprice"), key], "tile_asc")
-    return ranking.distributed_ntile(cheap, 7, [F.desc("o_totalprice"), key], "tile_desc")
+    return ranking.distributed_ntiles(
+        orders, {"tile_asc": (4, [F.asc("o_totalprice"), key]), "tile_desc": (7, [F.desc("o_totalprice"), key])}
+    )
 
 
 @query("W4_share_of_total")
