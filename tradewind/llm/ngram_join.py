@@ -16,7 +16,11 @@ quarters of the document are frequent, are indexed by pairs; a document with mor
 than ``MOST_PAIRED`` of them indexes them by themselves, and the others add single
 entries that are matched with such documents only.
 
-Candidates. A list of up to ``SHORT_LIST`` classes gives all its pairs. A longer
+Candidates. A list of up to ``SHORT_LIST`` classes gives all its pairs. As linked sets
+share two shingles of their prefixes, a pair that meets once in all short lists goes
+before anything is fetched for it, unless both prefixes hold a frequent shingle, which
+may be the second one; a shared pair of frequent ones counts for two. Pairs whose second
+meeting is in a long list are found there. A longer
 one gives the pairs with its hub, the class with the most copies, or else with the
 largest share of its shingles in long lists, which is the one that near copies
 have in common. When the links found so far leave a long list with several
@@ -169,8 +173,9 @@ def describe(texts: DataFrame) -> DataFrame:
 
 
 def index_entries(texts: DataFrame, hot: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """``key, node, size`` of every prefix; a negative size marks an entry that is only
-    matched with documents of many frequent shingles."""
+    """``key, node, size, double`` of every prefix; a negative size marks an entry that is only
+    matched with documents of many frequent shingles. Under one key, two entries that are
+    ``double`` (1) meet for two shingles, others for one."""
     broadcast = texts.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +190,9 @@ def index_entries(texts: DataFrame, hot: np.ndarray, percent: int = PERCENT) ->
                 inside = (rank < np.repeat(prefix, sizes)) & np.repeat(first, sizes)
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 rare = inside & ~late
-                keys, owners, marks = [values[rare]], [row[rare]], [sizes[row[rare]]]
+                mixed = np.zeros(len(sizes), np.int64)
+                mixed[row[inside & late]] = 1
+                keys, owners, marks, doubles = [values[rare]], [row[rare]], [sizes[row[rare]]], [mixed[row[rare]]]
                 frequent = np.flatnonzero(inside & late)
                 starts = np.flatnonzero(np.diff(row[frequent], prepend=-1))
                 for some in np.split(frequent, starts[1:]) if len(frequent) else []:
@@ -196,52 +203,65 @@ def index_entries(texts: DataFrame, hot: np.ndarray, percent: int = PERCENT) ->
                         keys.append(word_hashes.mix(tokens[i] + word_hashes.mix(tokens[j])))
                         owners.append(np.full(len(i), owner))
                         marks.append(np.full(len(i), sizes[owner]))
+                        doubles.append(np.ones(len(i), np.int64))
                     keys.append(tokens)
                     owners.append(np.full(len(tokens), owner))
                     marks.append(np.full(len(tokens), -sizes[owner] if few else sizes[owner]))
+                    doubles.append(np.zeros(len(tokens), np.int64))
                 owners = np.concatenate(owners)
                 yield _batch(
                     {
                         "key": pa.array(np.concatenate(keys).view(np.int64)),
                         "node": pa.array(nodes[owners]),
                         "size": pa.array(np.concatenate(marks).astype(np.int64)),
+                        "double": pa.array(np.concatenate(doubles)),
                     }
                 )
 
-    return texts.mapInArrow(lean(run), "key long, node long, size long")
+    return texts.mapInArrow(lean(run), "key long, node long, size long, double long")
 
 
-def _pairs(nodes: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int):
-    """Of the pairs i, j those that sizes and marks allow, the lesser node first."""
+def _pairs(nodes: np.ndarray, sizes: np.ndarray, doubles: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int):
+    """Of the pairs i, j those that sizes and marks allow, the lesser node first, each with
+    the number of shingles that they meet for."""
     n_i, n_j = np.abs(sizes[i]), np.abs(sizes[j])
     fits = 100 * np.minimum(n_i, n_j) >= percent * np.maximum(n_i, n_j)
     fits &= (sizes[i] > 0) | (sizes[j] > 0)
-    a, b = nodes[i[fits]], nodes[j[fits]]
-    return np.minimum(a, b), np.maximum(a, b)
+    i, j = i[fits], j[fits]
+    a, b = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+    if not len(a):
+        return a, b, np.zeros(0, np.int64)
+    order = np.lexsort((b, a))
+    a, b, met = a[order], b[order], (1 + doubles[i] * doubles[j])[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    begin = np.flatnonzero(new)
+    return a[begin], b[begin], np.add.reduceat(met, begin)
 
 
 def list_candidates(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``long_key, a, b``: candidate pairs of classes where ``long_key`` is null, else the
-    members ``a`` of the long list of that key, with their mark in ``b``."""
+    """``long_key, a, b, met``: pairs of classes and the shingles that they meet for in some of
+    the short lists where ``long_key`` is null, else the members ``a`` of the long list of
+    that key, with their mark in ``b``."""
     ordered = entries.repartition("key").sortWithinPartitions("key", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
+        held = [np.zeros(0, np.int64)] * 4
         open_key = None  # of a long list that may go on in the next batch
 
-        def lists(keys, nodes, sizes, last: bool):
+        def lists(keys, nodes, sizes, doubles, last: bool):
             nonlocal open_key
             keep = np.ones(len(keys), bool)
             keep[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-            keys, nodes, sizes = keys[keep], nodes[keep], sizes[keep]
+            keys, nodes, sizes, doubles = keys[keep], nodes[keep], sizes[keep], doubles[keep]
             new = np.ones(len(keys), bool)
             new[1:] = keys[1:] != keys[:-1]
             starts = np.flatnonzero(new)
             ends = np.append(starts[1:], len(keys)).astype(int)
-            rest = [x[:0] for x in (keys, nodes, sizes)]
+            rest = [x[:0] for x in (keys, nodes, sizes, doubles)]
             if len(starts) and not last and ends[-1] - starts[-1] <= SHORT_LIST and keys[starts[-1]] != open_key:
                 # The last list may go on in the next batch.
-                rest = [x[starts[-1] :] for x in (keys, nodes, sizes)]
+                rest = [x[starts[-1] :] for x in (keys, nodes, sizes, doubles)]
                 starts, ends = starts[:-1], ends[:-1]
             goes_on = keys[starts] == open_key if open_key is not None else np.zeros(len(starts), bool)
             length = ends - starts
@@ -254,25 +274,25 @@ def list_candidates(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
                 x, y = np.triu_indices(n, 1)
                 i.append((at[:, None] + x).ravel())
                 j.append((at[:, None] + y).ravel())
-            a, b = _pairs(nodes, sizes, np.concatenate(i), np.concatenate(j), percent)
-            pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            a, b, met = _pairs(nodes, sizes, doubles, np.concatenate(i), np.concatenate(j), percent)
             member = np.repeat(long, length)
             member = np.concatenate([member, np.zeros(len(keys) - len(member), bool)])
-            none = np.arange(len(pairs) + member.sum()) < len(pairs)
+            none = np.arange(len(a) + member.sum()) < len(a)
             result = {
-                "long_key": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), keys[member]]), mask=none),
-                "a": pa.array(np.concatenate([pairs[:, 0], nodes[member]])),
-                "b": pa.array(np.concatenate([pairs[:, 1], sizes[member]])),
+                "long_key": pa.array(np.concatenate([np.zeros(len(a), np.int64), keys[member]]), mask=none),
+                "a": pa.array(np.concatenate([a, nodes[member]])),
+                "b": pa.array(np.concatenate([b, sizes[member]])),
+                "met": pa.array(np.concatenate([met, np.zeros(member.sum(), np.int64)])),
             }
             return _batch(result), rest
 
         for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "size")]
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "size", "double")]
             done, held = lists(*[np.concatenate([h, c]) for h, c in zip(held, columns)], last=False)
             yield done
         yield lists(*held, last=True)[0]
 
-    return ordered.mapInArrow(lean(run), "long_key long, a long, b long")
+    return ordered.mapInArrow(lean(run), "long_key long, a long, b long, met long")
 
 
 def hub_candidates(members: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -302,7 +322,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(lean(run), "b long, a long" if joined.columns[0] == "b" else "a long, b long").select("a", "b")
+    return joined.mapInArrow(lean(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -454,7 +474,8 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
     """Links ``a, b`` between classes; within a component they connect it, and are all only if ``whole``."""
     hot = frequent_shingles(texts)
     found = stored(list_candidates(index_entries(texts, hot, percent), percent), "lists")
-    candidates = found.where("long_key IS NULL").select("a", "b")
+    met = found.where("long_key IS NULL").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    candidates = met.where("met >= 2").select("a", "b")
     per_class = (
         found.where("long_key IS NOT NULL")
         .groupBy("a")
