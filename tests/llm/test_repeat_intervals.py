@@ -94,6 +94,25 @@ def test_kept_texts_and_columns(spark):
     assert rows == {1: ("xleft", "n", 7), 2: ("right", "m", 8), 3: (None, None, None)}
 
 
+def test_clashing_columns_and_characters_cut_in_two(spark):
+    passage = "é" * 30
+    clashing = ("__id", "__text", "__key", "__spans", "c0", "kept", "h")
+    frame = spark.createDataFrame(
+        [(1, "x" + passage + "left", *clashing), (2, passage + "right", *clashing)],
+        "doc_id long, text string, " + ", ".join(f"{c} string" for c in clashing),
+    )
+    got = without_repeats(frame, L)
+    assert got.columns == frame.columns
+    assert {tuple(r)[2:] for r in got.collect()} == {clashing}
+    assert {r["text"] for r in digests(cut_repeats(frame, L), with_text=True).collect()} == {"xleft", "right"}
+    # The repeat starts in the middle of a character.
+    tail = "\u00a9" + "b" * L  # C2 A9
+    other = "\u00e9"[:1]  # C3 A9
+    rows = [(1, "x" + tail), (2, "y" + other + "b" * L)]
+    two = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["text"] for r in digests(cut_repeats(two, L), with_text=True).collect()} == {"x", "y"}
+
+
 def test_intervals_of_a_prefix_array():
     # Common prefixes of: banana's sorted suffixes a, ana, anana, banana, na, nana.
     assert sorted(prefix_intervals(np.array([0, 1, 3, 0, 0, 2]))) == [(0, 0, 5), (1, 0, 2), (2, 4, 5), (3, 1, 2)]

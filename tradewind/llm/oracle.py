@@ -75,8 +75,18 @@ FROM counted
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# One whole character of UTF-8, in hexadecimal; a cut may leave parts of others.
+_TAIL = "[89AB][0-9A-F]"
+_CHARACTER = "|".join(
+    [
+        "[0-7][0-9A-F]", f"(?:C[2-9A-F]|D[0-9A-F]){_TAIL}", f"E0[AB][0-9A-F]{_TAIL}",
+        f"(?:E[1-9A-CEF]){_TAIL}{_TAIL}", f"ED[89][0-9A-F]{_TAIL}", f"F0[9AB][0-9A-F]{_TAIL}{_TAIL}",
+        f"F[1-3]{_TAIL}{_TAIL}{_TAIL}", f"F48[0-9A-F]{_TAIL}{_TAIL}",
+    ]
+)
+
 # Every 400-byte window of every text, and the bytes that the repeated ones cover.
-REPEATS = """
+REPEATS = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, encode(coalesce(text, '')) AS said FROM documents
 ), windows AS (
@@ -104,7 +114,8 @@ WITH texts AS (
   FROM kept k JOIN texts t ON t.row_no = k.row_no GROUP BY k.row_no
 )
 SELECT doc_id, octet_length(said) AS n_bytes, octet_length(said) - octet_length(left_over) AS n_removed,
-  (SELECT count(*) FROM spans s WHERE s.row_no = t.row_no) AS n_spans, sha256(left_over) AS kept_sha256
+  (SELECT count(*) FROM spans s WHERE s.row_no = t.row_no) AS n_spans, sha256(left_over) AS kept_sha256,
+  decode(unhex(regexp_replace(hex(left_over), '({_CHARACTER})|..', '\1', 'g'))) AS text
 FROM texts t JOIN remains r ON r.row_no = t.row_no
 """
 
@@ -155,7 +166,8 @@ PERIODS = rf"""
 WITH hashed AS (
   SELECT doc_id, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
       lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * {_CRC}))), 4294967295) AS h,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w
   FROM documents
 ), placed AS (
   SELECT doc_id, h, w, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed

@@ -102,7 +102,8 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_suffix_dedup")
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return repeat_intervals.digests(repeat_intervals.cut_repeats(read(spark, folder, "documents").select("doc_id", "text")))
+    cut = repeat_intervals.cut_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return repeat_intervals.digests(cut, with_text=True)
 
 
 @query("op4_class_ngram_scoring")

@@ -28,7 +28,7 @@ task: its windows are hashed each and counted by Spark, which gives the same
 answer for any size.
 
 Texts are shuffled twice at most and only those concerned, found by a bitmap of
-fixed size. Windows are compared by 128 bits of hashes, suffixes byte by byte.
+fixed size, as are the anchors that occur twice. Windows are compared by 128 bits of hashes, suffixes byte by byte.
 
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing;
 rows that are equal in doc_id and text are occurrences of each other; rows with a
@@ -108,13 +108,18 @@ def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _anchor_rows(texts: DataFrame, length: int, placed: bool) -> DataFrame:
-    """``h, c`` of every anchor, with its text and windows when ``placed``."""
+def _anchor_rows(texts: DataFrame, length: int, repeated=None) -> DataFrame:
+    """``h, c`` of every anchor; given a bitmap of repeated ones, with text and windows and only of those."""
+    placed = repeated is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in word_hashes.slices(batch, "text"):
-                row, at, lo, hi, h, c = anchors(*word_hashes.column_bytes(piece.column("text")), length)
+                found = anchors(*word_hashes.column_bytes(piece.column("text")), length)
+                if placed:
+                    again = has_bit(repeated.value, found[4])
+                    found = [x[again] for x in found]
+                row, at, lo, hi, h, c = found
                 out = {"h": pa.array(h.view(np.int64)), "c": pa.array(c.view(np.int64))}
                 if placed:
                     row = pa.array(row)
@@ -248,14 +253,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int =
     ``texts`` has the key columns and ``text``.
     """
     long_texts = texts.where(F.octet_length("text") >= length)
-    twice = (
-        _anchor_rows(long_texts, length, placed=False)
+    # Stored, so that the join's sides are both plain and one anchor of very many texts can be split.
+    twice = stored(
+        _anchor_rows(long_texts, length)
         .groupBy("h")
         .agg(F.count("*").alias("n"), (F.min("c") < F.max("c")).alias("mixed"))
         .where("n > 1")
-        .select("h", "mixed")
+        .select("h", "mixed"),
+        "repeated-anchors",
     )
-    shared = stored(_anchor_rows(long_texts, length, placed=True).join(twice, "h"), "anchors")
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap_of(twice.select(F.col("h").alias("key"))))
+    shared = stored(_anchor_rows(long_texts, length, bits).join(twice, "h"), "anchors")
     strings = stored(
         shared.groupBy("h", "c").agg(
             F.count("*").alias("n"),
@@ -337,7 +345,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-_ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
+_ADDED = ("n_bytes", "n_removed", "n_spans", "kept", "remaining")
 
 
 # Bytes, removed bytes, removed runs, and what is left.
@@ -351,7 +359,8 @@ def cut_repeats(
     text: str = "text",
     most_suffixes: int = MOST_SUFFIXES,
 ) -> DataFrame:
-    """All columns, with ``n_bytes, n_removed, n_spans`` and the remaining bytes as ``kept``.
+    """All columns, with ``n_bytes, n_removed, n_spans``, the remaining bytes as ``kept`` and their
+    whole characters as ``remaining``.
 
     The added columns replace columns of the same names.
     """
@@ -362,22 +371,33 @@ def cut_repeats(
         names = [f.name for f in own]
         added = [pa.array([c[k] for c in cuts], pa.int64()) for k in range(3)]
         kept = pa.array([c[3] for c in cuts], pa.binary())
-        return pa.RecordBatch.from_arrays([*map(piece.column, names), *added, kept], names=[*names, *_ADDED])
+        remaining = pa.array([c[3].decode("utf-8", "ignore") for c in cuts], pa.string())
+        return pa.RecordBatch.from_arrays([*map(piece.column, names), *added, kept, remaining], names=[*names, *_ADDED])
 
-    schema = T.StructType([*own, *counts, T.StructField("kept", T.BinaryType())])
+    left = [T.StructField("kept", T.BinaryType()), T.StructField("remaining", T.StringType())]
+    schema = T.StructType([*own, *counts, *left])
     return _cut(documents, length, doc_id, text, most_suffixes, finish, schema)
 
 
+def _under(names: list[str], finish):
+    """``finish`` with rows under these names."""
+    return lambda piece, cuts: finish(pa.RecordBatch.from_arrays(piece.columns, names=names), cuts)
+
+
 def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixes: int, finish, schema) -> DataFrame:
     """``finish(rows, their cuts)`` over all rows. Texts without a repeat are finished where they
     lie; the others meet their spans."""
-    keyed = _keyed(documents, doc_id, text)
+    names = documents.columns
+    # Own names inside, so that no column of the documents clashes with an added one.
+    inner = [f"c{n}" for n in range(len(names))]
+    doc_id, text = inner[names.index(doc_id)], inner[names.index(text)]
+    finish = _under(names, finish)
+    keyed = _keyed(documents.toDF(*inner), doc_id, text)
     texts = keyed.select(*_KEY, F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = stored(repeated_spans(texts, length, most_suffixes).distinct(), "spans")
     per_text = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     shared = _bits_of(keyed, spans)
     hit = _concerned(keyed, shared).join(per_text, _KEY, "left")
-    names = documents.columns
 
     def cut(said: str | None, found) -> _Cut:
         said = (said or "").encode()
@@ -390,12 +410,12 @@ def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixe
         for batch in batches:
             for piece in word_hashes.slices(batch, text):
                 pairs = zip(piece.column(text).to_pylist(), piece.column("__spans").to_pylist())
-                yield finish(piece.select(names), [cut(said, found) for said, found in pairs])
+                yield finish(piece.select(inner), [cut(said, found) for said, found in pairs])
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column("__key").to_numpy(zero_copy_only=False).view(np.uint64)
-            clean = batch.filter(pa.array(~has_bit(shared.value, hashes), pa.bool_())).select(names)
+            clean = batch.filter(pa.array(~has_bit(shared.value, hashes), pa.bool_())).select(inner)
             for piece in word_hashes.slices(clean, text):
                 yield finish(piece, [cut(said, None) for said in piece.column(text).to_pylist()])
 
@@ -403,11 +423,11 @@ def _cut(documents: DataFrame, length: int, doc_id: str, text: str, most_suffixe
     return hit.mapInArrow(lean(with_spans), schema).unionByName(untouched)
 
 
-def digests(cut: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of :func:`cut_repeats`' rows."""
+def digests(cut: DataFrame, doc_id: str = "doc_id", with_text: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of :func:`cut_repeats`' rows, and the remaining ``text`` if wanted."""
     return cut.select(
         F.col(doc_id).cast("long").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), *([F.col("remaining").alias("text")] if with_text else []),
     )
 
 
