@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.sources.csv_ranges import read_csv
 from tradewind.sources.tables import replace_table
 
 # File of each raw table, after the vendor's prefix.
@@ -57,24 +58,20 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     compares each with the first and fails on another order or other names, as
     it would else join columns by position.
 
-    ``multi_line`` admits quoted line breaks but reads each file in one task.
-    For files known to hold none, pass False and Spark splits them; for big
-    feeds with line breaks, deliver many files or convert once to Parquet.
+    ``multi_line`` admits quoted line breaks: byte ranges of a file find their records
+    themselves (see :mod:`tradewind.sources.csv_ranges`), in three passes over the text.
+    Files known to hold none take one pass if it is False.
     """
-    options = {
-        "inferSchema": False,
-        "multiLine": multi_line,
-        "quote": '"',
-        "escape": '"',
-        "encoding": "UTF-8",
-        "mode": "FAILFAST",
-    }
-    first = spark.read.csv(path, header=False, **options).head()
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+    reader = {**options, "inferSchema": False, "multiLine": multi_line, "encoding": "UTF-8"}
+    first = spark.read.csv(path, header=False, **reader).head()
     if first is None:
         raise ValueError(f"no header at {path}")
     names = normalized(c or "" for c in first)
-    df = spark.read.csv(path, header=True, enforceSchema=False, **options)
-    return df.toDF(*names)
+    if multi_line:
+        header = [(c or "").lstrip("\ufeff") for c in first]
+        return read_csv(spark, path, header, options).toDF(*names)
+    return spark.read.csv(path, header=True, enforceSchema=False, **reader).toDF(*names)
 
 
 @dataclass(frozen=True)
