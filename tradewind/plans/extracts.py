@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.plans import analytics, kpis
-from tradewind.plans.star import RawTables, StarSchema
-from tradewind.sources.tables import export_json, register_views
+from tradewind.plans.star import RawTables, StarSchema, open_star
+from tradewind.sources.tables import export_json, published_version, register_views
 
 
 def analytic_views(star: StarSchema, raw: RawTables) -> dict[str, DataFrame]:
@@ -33,6 +33,36 @@ def register_star(star: StarSchema, raw: RawTables) -> dict[str, DataFrame]:
     return views
 
 
+class LiveViews:
+    """The star tables and analytic views of a folder, which follow what is published there.
+
+    The plans hold no copies of data. ``follow`` looks at the folder's version, one
+    listing, and registers the views anew when it has changed: as temporary views of the
+    session, and for all sessions of the application as ``global_temp.<name>``.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, raw: RawTables):
+        self.spark, self.folder, self.raw = spark, folder, raw
+        self.version = 0
+        self.views: dict[str, DataFrame] = {}
+
+    def follow(self) -> bool:
+        """Whether there was something new."""
+        version = published_version(self.spark, self.folder.rstrip("/"))
+        if version == self.version:
+            return False
+        star = open_star(self.spark, self.folder)
+        self.views = analytic_views(star, self.raw)
+        register_views({**star.tables(), **self.views}, everywhere=True)
+        self.version = version
+        return True
+
+    def sql(self, query: str) -> DataFrame:
+        """The query over the views as they are now."""
+        self.follow()
+        return self.spark.sql(query)
+
+
 def extracts(
     star: StarSchema,
     raw: RawTables,

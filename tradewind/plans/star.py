@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +22,7 @@ from tradewind.functions import (
 from tradewind.operators import quality
 from tradewind.operators.dedupe import insert_if_absent, keep_any, keep_latest
 from tradewind.operators.joins import lookup_with_default
-from tradewind.sources.tables import move_table, replace_table
+from tradewind.sources.tables import publish_tables, published_tables, replace_table
 
 TIMESTAMP = T.TimestampNTZType()
 # Amounts of single rows as they come in. Sums keep all six decimals and are
@@ -431,10 +432,11 @@ def write_star(
     Facts are partitioned by purchase month, so monthly reads prune files. The
     tables are written beside the published ones and the constraints checked
     there, so the star is computed once and a build that fails leaves the last
-    good star as it was.
+    good star as it was. All five become current by one rename.
     """
     target = folder.rstrip("/")
-    staging = f"{target}/_staging"
+    staging = f"{target}/_staging/{uuid.uuid4().hex}"
+    spark = star.fact_orders.sparkSession
     written = {}
     for name, df in star.tables().items():
         path = f"{staging}/{name}"
@@ -444,7 +446,14 @@ def write_star(
         else:
             written[name] = replace_table(df, path, rebalance=True)
     quality.enforce(star_checks(written_star(written), max_lengths, max_numbers))
-    published = {
-        name: move_table(df, f"{staging}/{name}", f"{target}/{name}") for name, df in written.items()
-    }
-    return written_star(published)
+    publish_tables(spark, target, {name: f"{staging}/{name}" for name in written})
+    return open_star(spark, target)
+
+
+def open_star(spark: SparkSession, folder: str) -> StarSchema:
+    """The star that was last published in a folder."""
+    paths = published_tables(spark, folder)
+    lacking = sorted(set(STAR_TABLES) - set(paths))
+    if lacking:
+        raise ValueError(f"no star schema is published in {folder}: {lacking} are missing")
+    return StarSchema(**{name: (lambda at=paths[name]: spark.read.parquet(at)) for name in STAR_TABLES})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,22 +37,75 @@ def replace_table(
     return df.sparkSession.read.schema(_written_schema(df, partition_by)).parquet(path)
 
 
-def move_table(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Put the table written at ``source`` in the place of ``target`` and return it.
+_MANIFESTS = "_published"
 
-    Two renames within one file system; the old table goes once the new one is there.
-    """
-    spark = df.sparkSession
+
+def _file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = path(f"{target}__old")
-    files.delete(old, True)
-    if files.exists(path(target)) and not files.rename(path(target), old):
-        raise OSError(f"could not set {target} aside")
-    if not files.rename(path(source), path(target)):
-        raise OSError(f"could not move {source} to {target}")
-    files.delete(old, True)
-    return spark.read.schema(df.schema).parquet(target)
+    return path, path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, folder: str) -> list[str]:
+    path, files = _file_system(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(path(folder))] if files.exists(path(folder)) else []
+
+
+def published_version(spark: SparkSession, folder: str) -> int:
+    """The number of the last publication in a folder; 0 if there is none."""
+    names = _children(spark, f"{folder}/{_MANIFESTS}")
+    return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=0)
+
+
+def published_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name and path of the tables that were last published together."""
+    folder = folder.rstrip("/")
+    version = published_version(spark, folder)
+    if not version:
+        return {}
+    text = spark.read.text(f"{folder}/{_MANIFESTS}/{version:06d}.json", wholetext=True).first()["value"]
+    return {name: f"{folder}/{place}" for name, place in json.loads(text).items()}
+
+
+def publish_tables(
+    spark: SparkSession,
+    folder: str,
+    staged: Mapping[str, str],
+    before_step: Callable[[str], None] = lambda step: None,
+) -> dict[str, str]:
+    """Make written tables the folder's current ones, all at once, and return their paths.
+
+    Every table moves to a folder of the new version, which nobody reads yet. The rename
+    of one manifest that names them all is the publication: before it the old tables are
+    current, after it the new ones, and a second writer's rename fails. The version before
+    stays until the next publication, for readers that are under way; what an
+    interrupted one left over goes first. ``before_step`` is told each step.
+    """
+    folder = folder.rstrip("/")
+    path, files = _file_system(spark, folder)
+    current = published_tables(spark, folder)
+    version = published_version(spark, folder) + 1
+    for name in staged:
+        for old in _children(spark, f"{folder}/{name}"):
+            if f"{folder}/{name}/{old}" != current.get(name):
+                before_step(f"remove {name}/{old}")
+                files.delete(path(f"{folder}/{name}/{old}"), True)
+    placed = {name: f"{name}/{version:06d}" for name in staged}
+    for name, source in staged.items():
+        before_step(f"move {name}")
+        files.mkdirs(path(f"{folder}/{name}"))
+        if not files.rename(path(source), path(f"{folder}/{placed[name]}")):
+            raise OSError(f"could not move {source} to {folder}/{placed[name]}")
+    others = {name: place.removeprefix(f"{folder}/") for name, place in current.items() if name not in staged}
+    draft = path(f"{folder}/{_MANIFESTS}/{version:06d}.{uuid.uuid4().hex}.draft")
+    before_step("write the manifest")
+    out = files.create(draft, False)
+    out.write(bytearray(json.dumps({**others, **placed}), "utf-8"))
+    out.close()
+    before_step("publish")
+    if not files.rename(draft, path(f"{folder}/{_MANIFESTS}/{version:06d}.json")):
+        raise OSError(f"version {version} of {folder} was published by another writer")
+    before_step("done")
+    return published_tables(spark, folder)
 
 
 def _written_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
@@ -77,10 +132,21 @@ def bucketed_table(
     return df.sparkSession.table(name)
 
 
-def register_views(views: Mapping[str, DataFrame]) -> None:
-    """Expose each lazy DataFrame under a name that SQL can query."""
+def register_views(views: Mapping[str, DataFrame], everywhere: bool = False) -> None:
+    """Expose each lazy DataFrame under a name that SQL can query.
+
+    ``everywhere`` makes it known to all sessions of the application as ``global_temp.<name>`` too.
+    """
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+        if everywhere:
+            df.createOrReplaceGlobalTempView(name)
+
+
+def refresh_views(spark: SparkSession, names: Iterable[str]) -> None:
+    """Let views see files that were written at their sources' paths since they were registered."""
+    for name in names:
+        spark.catalog.refreshTable(name)
 
 
 def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
