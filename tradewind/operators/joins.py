@@ -39,7 +39,7 @@ def skew_join(
     right rows are repeated once per salt. The repeats add up to at most
     ``left rows / hot_rows`` plus one per heavy key. Other keys join as usual.
     Rows with a NULL key match nothing: an inner join drops them, a left join
-    passes them around the join.
+    spreads them by a hash of the row.
 
     The keys are counted in a pass of their own, over the key column alone, so
     this is for callers who expect such keys; adaptive execution splits the rest.
@@ -50,30 +50,33 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left joins, not {how}")
     salts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
+    keyed = left.where(F.col(key).isNotNull()) if how == "inner" else left
     counted = left if counts_from is None else counts_from
     heavy = heavy_keys(counted.where(F.col(key).isNotNull()), [key], hot_rows).select(
         key, salts.alias("_salts")
     )
     hashed = F.xxhash64(*[F.col(c) for c in spread])
-    keyed = left.where(F.col(key).isNotNull())
-    salted_left = keyed.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")).cast("int")).otherwise(0),
-    )
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts"))).otherwise(_null_spread(left, key))
+    salted_left = _left_join_spread(keyed, heavy, key).withColumn("_salt", salt)
     salted_right = right.join(heavy, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))
     )
     joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), [key, "_salt"], how)
-    return with_null_keys(joined.drop("_salt"), left, right, key, how)
+    return joined.drop("_salt")
+
+
+def _null_spread(left: DataFrame, key: str) -> Column:
+    """0 for rows with a key, else a hash of the row: rows without a key match nothing, and as
+    part of a join key this sends them to different tasks."""
+    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.when(F.col(key).isNull(), F.xxhash64(*hashable)).otherwise(F.lit(0).cast("long"))
 
 
-def with_null_keys(joined: DataFrame, left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Add the left rows without a key to a left join made without them."""
-    if how != "left":
-        return joined
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
-    alone = left.where(F.col(key).isNull()).select("*", *missing)
-    return joined.unionByName(alone.select(joined.columns))
+def _left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """A left join that reads its left side once, however many of its rows have no key."""
+    spread = left.withColumn("_spread", _null_spread(left, key))
+    met = right.withColumn("_spread", F.lit(0).cast("long"))
+    return spread.join(met, [key, "_spread"], "left").drop("_spread")
 
 
 def join_aggregated(
@@ -108,11 +111,9 @@ def lookup_with_default(
 
     Whether the dimension is broadcast is left to Spark, which measures it, and
     a key that many rows share to its skew join. Rows without a key would all
-    meet in one task, so they go around the join.
+    meet in one task, so they are spread by a second join key.
     """
-    side = dimension.select(key, column)
-    joined = left.where(F.col(key).isNotNull()).join(side, key, "left")
-    joined = with_null_keys(joined, left, side, key, "left")
+    joined = _left_join_spread(left, dimension.select(key, column), key)
     return joined.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 

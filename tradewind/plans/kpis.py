@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions import change_pct, month_bucket, ratio, safe_ratio_pct, typed
-from tradewind.operators.joins import spine_join
 from tradewind.operators.series import previous
 
 # Order states left out of revenue and customer figures.
@@ -81,34 +80,6 @@ def ops_monthly(fact_deliveries: DataFrame) -> DataFrame:
     ).orderBy("order_month")
 
 
-def monthly_acquisition(valid: DataFrame) -> DataFrame:
-    """New customers per month of their first valid order."""
-    first = valid.groupBy("customer_unique_id").agg(
-        F.min("purchase_timestamp").alias("purchase_timestamp")
-    )
-    return first.groupBy(order_month()).agg(
-        F.count("customer_unique_id").alias("new_customers_acquired")
-    )
-
-
-def monthly_reviews(fact_orders: DataFrame, raw_reviews: DataFrame) -> DataFrame:
-    """Mean score per purchase month, over orders of every status.
-
-    Scores are summed per order before the join, which then is one to one.
-    """
-    per_order = raw_reviews.groupBy("order_id").agg(
-        F.sum(typed(raw_reviews, "review_score", SCORE)).alias("_score"),
-        F.count("review_score").alias("_scored"),
-    )
-    return (
-        fact_orders.select("order_id", order_month())
-        .join(per_order, "order_id")
-        .groupBy("order_month")
-        .agg(F.sum("_score").alias("_score"), F.sum("_scored").alias("_scored"))
-        .select("order_month", ratio(F.col("_score"), F.col("_scored")).alias("avg_review_score"))
-    )
-
-
 def marketing_monthly(
     fact_orders: DataFrame,
     raw_reviews: DataFrame,
@@ -116,29 +87,47 @@ def marketing_monthly(
 ) -> DataFrame:
     """New customers, orders, share of repeat orders and review score.
 
-    A customer has exactly one first order, placed in the acquisition month,
-    so the repeat orders of a month are its orders minus its new customers.
-    That needs no per-customer ranking, and a customer with very many orders
-    is reduced to one row before any shuffle.
+    One table of customers and months carries everything: valid orders, and the sum and
+    number of scores over orders of every status. Scores are summed per order before
+    they join, which then is one to one. A customer has one first valid month, so the
+    repeat orders of a month are its orders minus its new customers; that needs no
+    ranking of orders, and a customer's rows are as many as their months.
     """
-    months = fact_orders.groupBy(order_month()).agg(
-        F.count_if(is_valid(excluded)).alias("total_orders")
+    per_order = raw_reviews.groupBy("order_id").agg(
+        F.sum(typed(raw_reviews, "review_score", SCORE)).alias("_score"),
+        F.count("review_score").alias("_scored"),
     )
-    joined = spine_join(
-        months,
-        "order_month",
-        [
-            monthly_acquisition(valid_orders(fact_orders, excluded)),
-            monthly_reviews(fact_orders, raw_reviews),
-        ],
+    per_customer = (
+        fact_orders.join(per_order, "order_id", "left")
+        .groupBy("customer_unique_id", order_month())
+        .agg(
+            F.count_if(is_valid(excluded)).alias("_orders"),
+            F.sum("_score").alias("_score"),
+            F.sum("_scored").alias("_scored"),
+        )
     )
-    new = F.coalesce("new_customers_acquired", F.lit(0))
-    return joined.select(
+    # A month without a name is nobody's first.
+    active = F.when(F.col("_orders") > 0, F.col("order_month"))
+    first = F.min(active).over(Window.partitionBy("customer_unique_id"))
+    is_new = F.col("customer_unique_id").isNotNull() & (active == F.col("_first"))
+    monthly = (
+        per_customer.withColumn("_first", first)
+        .groupBy("order_month")
+        .agg(
+            F.count_if(is_new).alias("new_customers_acquired"),
+            F.sum("_orders").alias("total_orders"),
+            F.sum("_score").alias("_score"),
+            F.sum("_scored").alias("_scored"),
+        )
+    )
+    new = F.col("new_customers_acquired")
+    score = F.when(F.col("order_month").isNotNull(), ratio(F.col("_score"), F.col("_scored")))
+    return monthly.select(
         "order_month",
-        new.alias("new_customers_acquired"),
+        new,
         "total_orders",
         safe_ratio_pct(F.col("total_orders") - new, F.col("total_orders")).alias(
             "repeat_order_share_pct"
         ),
-        F.coalesce("avg_review_score", F.lit(0)).cast("decimal(18,2)").alias("avg_review_score"),
+        F.coalesce(score, F.lit(0)).cast("decimal(18,2)").alias("avg_review_score"),
     ).orderBy("order_month")
