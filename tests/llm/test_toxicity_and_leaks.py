@@ -3,11 +3,13 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import MEDIUM
+from tradewind.llm import word_hashes
 from tradewind.llm.compression_toxicity import fit, learnable, score, without_toxic
-from tradewind.llm.decontaminate import Index, Parameters, _hashes, item_parts, leaks, without_leaks
+from tradewind.llm.decontaminate import Index, Parameters, _hashes, bare_words, item_parts, leaks, without_leaks
 from tradewind.llm.tables import crc_remainder, read
 
 # --- Toxicity ------------------------------------------------------------
@@ -152,6 +154,28 @@ def test_short_answers_and_short_items(documents, spark):
     assert {r["doc_id"] for r in without_leaks(documents(rows), benchmark).collect()} == {30, 31, 32, 33, 34}
 
 
+def test_punctuation_and_case_around_words(documents, spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    question = "What is the name of the river that runs through the old capital of the northern province?"
+    benchmark = spark.createDataFrame([(1, f"{question} Paris"), (2, "six times seven")], "item_id long, text string")
+    tails = ["Paris and more", "Paris. And more", "(Paris)", "Answer: PARIS, of course", "“Paris”", "«Paris» …", "- Paris -"]
+    rows = [(10 + k, f"{prose(200)} {question} {tail} {prose(200)}") for k, tail in enumerate(tails)]
+    rows += [(20, f"{prose(50)} 'six times seven'! {prose(50)}"), (21, "Six, times: SEVEN."), (22, "— six … times seven")]
+    clean = [(30, f"{prose(200)} {question} Parisian {prose(200)}"), (31, "six times sevenths"), (32, "... !!! …"), (33, "")]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(documents(rows + clean), benchmark).collect()}
+    assert got == {(10 + k, 1) for k in range(len(tails))} | {(20, 2), (21, 2), (22, 2)}
+
+
+def test_bare_words_keep_inner_marks():
+    texts = ["it's (well-known)", "", "...", "“a”b” «c»。 don’t", "x"]
+    hashes, bounds = bare_words(*word_hashes.column_bytes(pa.array(texts)))
+    expected = [["it's", "well-known"], [], [], ["a”b", "c", "don’t"], ["x"]]
+    for k, words in enumerate(expected):
+        own = hashes[bounds[k] : bounds[k + 1]].tolist()
+        assert own == [word_hashes.words(*word_hashes.column_bytes(pa.array([w])))[2][0] for w in words]
+
+
 def test_places_of_a_short_item():
     parameters = Parameters()
     index = Index(((1, "six times seven"),), parameters)

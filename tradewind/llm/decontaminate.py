@@ -25,8 +25,11 @@ match where the whole item stands word for word.
 Only the benchmark is broadcast, in shards of at most ``shard_bytes`` of text,
 each with a pass over the documents; documents are neither shuffled nor cut.
 
+Words are compared without the punctuation at their edges, ASCII and typographic, and
+without case: "(Paris)." is "paris". Marks that stand alone are no words.
+
 Defined results: items and documents without text, and items of one or two words,
-match nothing; words are compared with their punctuation; repeated items are reported each, repeated
+match nothing; repeated items are reported each, repeated
 documents too; ties do not matter, as all at or above the threshold are returned;
 null ids stay null; an empty table gives no rows; extra columns are ignored.
 """
@@ -71,9 +74,38 @@ def item_parts(text: str) -> tuple[str, str]:
     return text[:at], text[at:]
 
 
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
+
+
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Which bytes are punctuation: ASCII, general punctuation (E2 80 xx), « and », 、 and 。"""
+    marks = _IS_MARK[data]
+    for lead, following, lasts in ((0xE2, 0x80, range(0x80, 0xC0)), (0xE3, 0x80, (0x81, 0x82))):
+        at = np.flatnonzero((data[:-2] == lead) & (data[1:-1] == following) & np.isin(data[2:], list(lasts)))
+        marks[np.concatenate([at, at + 1, at + 2])] = True
+    at = np.flatnonzero((data[:-1] == 0xC2) & np.isin(data[1:], [0xAB, 0xBB]))
+    marks[np.concatenate([at, at + 1])] = True
+    return marks
+
+
+def bare_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words without punctuation at their edges, and each row's range of them."""
+    starts, ends, _, bounds = word_hashes.words(data, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), bounds
+    place = np.arange(len(data))
+    marks = _marks(data)
+    after = np.minimum.accumulate(np.where(marks, len(data), place)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(marks, -1, place))
+    first, last = after[starts], before[ends - 1] + 1
+    stays = first < np.minimum(last, ends)
+    sums = word_hashes.prefix_sums(word_hashes.LOWER[data])
+    return word_hashes.range_hashes(sums, first[stays], last[stays]), np.concatenate([[0], np.cumsum(stays)])[bounds]
+
+
 def _hashes(text: str) -> np.ndarray:
-    data, offsets = word_hashes.column_bytes(pa.array([text], pa.string()))
-    return word_hashes.words(data, offsets)[2]
+    return bare_words(*word_hashes.column_bytes(pa.array([text], pa.string())))[0]
 
 
 def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -280,7 +312,7 @@ def leaks(
             index = _index(items, parameters)
             for batch in batches:
                 for piece in word_hashes.slices(batch, "text"):
-                    _, _, hashes, bounds = word_hashes.words(*word_hashes.column_bytes(piece.column("text")))
+                    hashes, bounds = bare_words(*word_hashes.column_bytes(piece.column("text")))
                     found = list(index.search(hashes, bounds))
                     if found:
                         ids = piece.column("doc_id").to_pylist()
@@ -327,7 +359,7 @@ def _without(documents: DataFrame, items, parameters: Parameters) -> DataFrame:
         index = _index(items, parameters)
         for batch in batches:
             for piece in word_hashes.slices(batch, "text"):
-                _, _, hashes, bounds = word_hashes.words(*word_hashes.column_bytes(piece.column("text")))
+                hashes, bounds = bare_words(*word_hashes.column_bytes(piece.column("text")))
                 clean = np.ones(piece.num_rows, bool)
                 clean[[r for r, *_ in index.search(hashes, bounds)]] = False
                 yield piece.filter(pa.array(clean))
