@@ -733,6 +733,11 @@ _STATEMENTS["O1_order_by"] = f"""
 SELECT o_orderkey, o_orderstatus, {iso_ts("o_orderdate")} AS o_orderdate
 FROM orders ORDER BY o_orderstatus, orders.o_orderdate DESC, o_orderkey
 """
+_STATEMENTS["O1_places_in_order"] = f"""
+SELECT o_orderkey, o_orderstatus, {iso_ts("o_orderdate")} AS o_orderdate,
+       row_number() OVER (ORDER BY o_orderstatus NULLS LAST, orders.o_orderdate DESC NULLS FIRST, o_orderkey) AS place
+FROM orders
+"""
 _STATEMENTS["O2_top_k"] = """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 15
 """

@@ -692,6 +692,17 @@ def _(t):
     )
 
 
+@query("O1_places_in_order")
+def _(t):
+    """The same order as a column, so that a wrong one shows."""
+    return ranking.global_position(
+        t.table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate"),
+        [F.asc_nulls_last("o_orderstatus"), F.desc_nulls_first("o_orderdate"), F.asc("o_orderkey")],
+        "place",
+        marks=16,
+    )
+
+
 @query("O2_top_k")
 def _(t):
     return series.top_rows(
