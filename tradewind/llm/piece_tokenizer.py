@@ -26,10 +26,12 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm import word_hashes
 from tradewind.llm.worker_memory import kept
 
 MARK = "▁"
@@ -230,7 +232,8 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared_tokenizer(model_file)
-        for batch in batches:
+        # A megabyte of texts at a time: segments and ids are Python objects, many times its size.
+        for batch in (piece for whole in batches for piece in word_hashes.slices(whole, "text")):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             counts, ids_digests, text_digests, all_ids = [], [], [], []
             for at, parts in enumerate(tokenizer.encode_batch(texts, check)):
@@ -243,7 +246,7 @@ def encode_documents(
                 ids_digests.append(hashlib.sha256(",".join([d for _, d, _ in parts]).encode()).hexdigest())
                 text_digests.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
                 if with_ids:
-                    all_ids.append(ids_of(parts))
+                    all_ids.append(np.array(ids_of(parts), np.int32))
             columns = [
                 batch.column("doc_id"),
                 pa.array(counts, pa.int64()),
