@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -114,3 +116,75 @@ def test_licenses_of_repeated_and_no_rows(documents):
     rows = [(1, "mit license"), (1, "mit license"), (None, "mit license")]
     assert [r["labels"] for r in scan_licenses(documents(rows)).collect()] == ["mit"] * 3
     assert scan_licenses(documents(rows).where("false")).collect() == []
+
+
+def twin(rows, licenses, phrases):
+    """Labels and score by looking for every key at every place."""
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER)) for _, t in rows]
+    held = [set(words) for words in split]
+    idf = {w: 1 + math.log((len(rows) + 1) / (sum(w in h for h in held) + 1)) for t in licenses for w in t.words}
+    for (doc_id, _), words in zip(rows, split):
+        labels, score = set(), 0.0
+        for phrase, label in phrases.items():
+            some = phrase.split()
+            labels |= {label for i in range(len(words)) if words[i : i + len(some)] == some}
+        for t in licenses:
+            for i in range(len(words)):
+                if words[i : i + len(t.key_words)] == t.key_words:
+                    start = i - t.key_at
+                    same = [w for q, w in enumerate(t.words) if 0 <= start + q < len(words) and words[start + q] == w]
+                    labels.add(t.label)
+                    score = max(score, sum(idf[w] for w in same) / sum(idf[w] for w in t.words))
+        yield doc_id, ",".join(sorted(labels)), round(score, 9)
+
+
+def scanned(frame, **options):
+    return sorted((r["doc_id"], r["labels"], round(r["score"], 9)) for r in scan_licenses(frame, **options).collect())
+
+
+@pytest.mark.parametrize("lookups, rare_share", [(1, 0.0), (3, 0.2), (8, 1.0)])
+def test_index_finds_every_key(documents, lookups, rare_share):
+    rng = random.Random(lookups)
+    texts = [*TEXTS, *(t.text for t in LICENSES), *(t.key for t in LICENSES)]
+    for _ in range(60):
+        pieces = []
+        for t in rng.choices(LICENSES, k=3):
+            words = t.text.split()
+            begin, end = rng.randrange(len(words)), rng.randrange(len(words) + 1)
+            pieces.append(" ".join(words[min(begin, end) :] if rng.random() < 0.5 else words[: max(begin, end)]))
+        texts.append(" word ".join(pieces))
+    texts.append("permission is hereby granted " * 3000 + LICENSES[1].text)
+    rows = list(enumerate(texts))
+    got = scanned(documents(rows), lookups=lookups, rare_share=rare_share)
+    assert got == sorted(twin(rows, LICENSES, BASE_PHRASES))
+
+
+def test_near_misses_are_told_apart(documents):
+    said = {
+        "Licensed under the GNU Lesser General Public License": "gpl,lgpl",
+        "the GNU Affero General Public License for details": "agpl,gpl",
+        "the GNU General Public License for details": "gpl",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+        "SPDX-License-Identifier: BSD-2-Clause": "bsd-2-clause",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee": "isc",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0",
+        "Licensed under the EUPL": "eupl",
+        "Permission is hereby granted, free of charge, to anyone": "mit",
+        "permission to use and copy this software": "",
+        "gnu lesser known general public": "",
+    }
+    rows = list(enumerate(said))
+    assert [labels for _, labels, _ in scanned(documents(rows))] == list(said.values())
+
+
+def test_whole_text_scores_one_and_a_changed_one_less(documents):
+    whole = max(LICENSES, key=lambda t: len(t.words))
+    rows = [(1, whole.text), (2, whole.text.replace("copy", "duplicate", 1)), (3, "x " * 50), (4, whole.key)]
+    scores = [score for _, _, score in scanned(documents(rows))]
+    assert scores[0] == 1.0 > scores[1] > scores[3] > scores[2] == 0.0
+
+
+def test_scan_without_templates(documents):
+    got = scanned(documents([(1, "MIT License"), (2, None)]), licenses=())
+    assert got == [(1, "mit", 0.0), (2, "", 0.0)]
