@@ -69,3 +69,22 @@ def test_default_vocabulary_knows_topics_and_inflections(spark):
     assert got == ["block"] * len(spam) + ["allow"] * len(plain)
     terms = DEFAULT_VOCABULARY.strict + DEFAULT_VOCABULARY.soft
     assert len(terms) == len(set(terms)) and all(t == t.lower() for t in terms)
+
+
+def test_forms_of_one_term_are_one_hit(spark):
+    urls = ["bet.com/bets/betting", "bet.com/odds", "pills.com/pill", "drugs.gov/drugstore", "security.org/malware/report",
+            "wiki.org/roulette", "cheap.com/pills", "free-bets.com/"]
+    pages = spark.createDataFrame([(i, f"http://{u}") for i, u in enumerate(urls)], "page_id long, url string")
+    got = judge_urls(pages, rules={}).orderBy("page_id").collect()
+    assert [r["soft_hits"] for r in got] == [1, 2, 1, 1, 1, 1, 2, 2]
+    assert [r["verdict"] for r in got] == ["block" if r["soft_hits"] > 1 else "allow" for r in got]
+
+
+def test_unnamed_terms_name_themselves():
+    vocabulary = Vocabulary((), ("bet", "bets", "win"), forms=(("bets", "bet"),))
+    assert vocabulary.terms_by_name() == {"bet": ["bet", "bets"], "win": ["win"]}
+
+
+def test_long_and_repeated_urls(spark):
+    urls = ["http://a.com/" + "x/" * 200_000 + "win/ads", "http://a.com/win", "http://a.com/win"]
+    assert [v for *_, v in judge(spark, *urls, rules={})] == ["block", "allow", "allow"]

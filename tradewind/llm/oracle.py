@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from tradewind.llm.url_vocabulary import CONTRACT_RULES, DEFAULT_VOCABULARY
 
 # Texts and roles with every lead character of a marker followed by the escape.
@@ -39,10 +41,13 @@ def _found(term: str) -> str:
     return f"regexp_matches(place, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')::INT"
 
 
-def _sum(terms: tuple[str, ...]) -> str:
+def _sum(terms: Iterable[str]) -> str:
     return "(" + " + ".join(map(_found, terms)) + ")::INT"
 
 
+# The forms of a soft term are one hit.
+_SOFT = [f"({'|'.join(forms)})" for forms in DEFAULT_VOCABULARY.terms_by_name().values()]
+
 _FITS = " UNION ALL ".join(
     f"SELECT '{rule.partition('/')[0]}' AS rule_host, '/{rule.partition('/')[2]}' AS rule_path, "
     f"'{rule}' AS rule, '{verdict}' AS says"
@@ -65,7 +70,7 @@ WITH rests AS (
      WHERE (host = r.rule_host OR ends_with(host, '.' || r.rule_host)) AND starts_with(path, r.rule_path)) AS best
   FROM parts
 ), counted AS (
-  SELECT *, {_sum(DEFAULT_VOCABULARY.strict)} AS strict_hits, {_sum(DEFAULT_VOCABULARY.soft)} AS soft_hits FROM judged
+  SELECT *, {_sum(DEFAULT_VOCABULARY.strict)} AS strict_hits, {_sum(_SOFT)} AS soft_hits FROM judged
 )
 SELECT page_id, host, path, best.rule AS rule,
   coalesce(best.says, CASE WHEN strict_hits > 0 OR soft_hits >= {DEFAULT_VOCABULARY.soft_limit} THEN 'block' ELSE 'allow' END) AS verdict,

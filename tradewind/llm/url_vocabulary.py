@@ -4,14 +4,16 @@ Rules first: a rule fits its host and all subdomains when the url's path starts
 with the rule's path; of several the longest wins. An url without a rule is
 judged by the vocabulary: an Aho-Corasick automaton finds its terms in one pass
 over host and path; a hit counts only when neither neighbour is a letter or digit
-(boundary check). One strict term, or ``soft_limit`` distinct soft terms, block.
+(boundary check). One strict term, or ``soft_limit`` distinct soft terms, block; the inflected
+forms of a soft term are one term.
 
 The automaton and the rules are parameters of bounded size and go to the tasks
 with the function; rows are judged where they lie, without a shuffle.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is allowed; an empty table gives no rows; repeated rows are
-judged each; a null id stays null; extra columns are ignored.
+judged each; a null id stays null; extra columns are ignored; of rules of equal length
+the later in the alphabet wins; a very long url is searched whole, once.
 """
 
 from __future__ import annotations
@@ -37,11 +39,23 @@ CONTRACT_RULES = {
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms in lower case. One ``strict`` hit or ``soft_limit`` distinct ``soft`` hits block."""
+    """Terms in lower case. One ``strict`` hit or ``soft_limit`` distinct ``soft`` hits block.
+
+    ``forms`` are pairs of a soft term and the name that all its forms share, so that
+    "bet" and "bets" are one hit; a term without a pair has its own name.
+    """
 
     strict: tuple[str, ...]
     soft: tuple[str, ...]
     soft_limit: int = 2
+    forms: tuple[tuple[str, str], ...] = ()
+
+    def terms_by_name(self) -> dict[str, list[str]]:
+        """Soft terms of every name."""
+        names, terms = dict(self.forms), {}
+        for term in self.soft:
+            terms.setdefault(names.get(term, term), []).append(term)
+        return terms
 
 
 # Terms that hardly stand in an ordinary url.
@@ -53,41 +67,136 @@ handjobs cumshot cumshots creampie gangbang gangbangs bukkake threesome threesom
 dildos vibrators fetishes bdsm erotica escort-service escort-services call-girls callgirl callgirls hookups
 adult-chat adult-content adult-dating adult-entertainment adult-film adult-films adult-movie adult-movies
 adult-site adult-sites adult-toys adult-video adult-videos adultchat adultdating adultvideo adultvideos
-casino casinos online-casino sportsbook sportsbooks bookmaker bookmakers bookie bookies blackjack baccarat roulette
+casino casinos online-casino sportsbook sportsbooks bookmaker bookmakers bookie bookies
 slot-machine slot-machines slotmachine slotmachines free-spins freespins betting-tips bettingtips no-deposit
 jackpots gambling gamblers online-poker video-poker
 viagra cialis levitra sildenafil tadalafil vardenafil kamagra xanax valium ambien tramadol oxycontin oxycodone
 hydrocodone vicodin percocet adderall modafinil phentermine clenbuterol anabolic steroids-online onlinepharmacy
 online-pharmacy online-pharmacies canadian-pharmacy no-prescription without-prescription cheap-meds cheapmeds
 diet-pills dietpills weight-loss-pills penis-enlargement
-malware phishing phish spyware ransomware keylogger keyloggers adware botnet botnets trojans rootkit rootkits
 warez keygen keygens crackz serialz nulled nulled-scripts cracked-software torrentz carding carders cvv-shop
 fullz stolen-cards fake-id fake-ids fake-passports
 payday-loan payday-loans paydayloan paydayloans get-rich-quick make-money-fast work-from-home-jobs
 replica-watches replica-handbags replicawatches fake-rolex essay-mill buy-backlinks buy-followers buy-likes
 """.split()
 
-# Terms that ordinary urls hold too, one at a time.
-_SOFT = """
-spam spams spammer spammers ads ad-click adserver adservers popup popups popunder popunders
-track tracker trackers click clicks promo promos promotion promotions sponsored affiliate affiliates
-free freebie freebies giveaway giveaways win winner winners prize prizes reward lucky bonus bonuses coupon coupons
-voucher vouchers discount discounts discounted cheap cheaper cheapest bargain bargains sale deals offers clearance
-bet bets betting bettor bettors wager wagers wagering gamble gambles gambler odds poker slot slots bingo lotto
-lottery lotteries jackpot stakes tipster tipsters raffle raffles sweepstake sweepstakes
-adult adults sex sexy sexual nude nudity naked erotic escort escorts fetish lingerie swinger swingers webcam webcams
-cam cams hot babe babes dating singles hookup kinky strip stripper strippers mature amateur amateurs teen teens
-pill pills pharma pharmacy pharmacies drug drugs drugstore drugstores med meds medication medications prescription
-prescriptions rx tablets capsules steroid steroids opioid opioids painkiller painkillers supplement supplements
-slimming weightloss detox miracle cure cures
-loan loans payday lender lenders cash credit debt debts mortgage mortgages forex binary crypto bitcoin bitcoins
-investment profit profits earn earnings income rich millionaire
-farm crack cracks cracked hack hacks hacked hacker hackers pirated piracy torrent torrents serials
-replica replicas counterfeit counterfeits knockoff knockoffs fake fakes
-backlink backlinks followers traffic seo bulk
-""".split()
+# Terms that ordinary urls hold too, one at a time. A line holds the forms of one term, its first word names them.
+_SOFT_FORMS = """
+spam spams spammer spammers
+ads ad-click adserver adservers
+popup popups popunder popunders
+track tracker trackers
+click clicks
+promo promos promotion promotions
+sponsored
+affiliate affiliates
+free freebie freebies
+giveaway giveaways
+win winner winners
+prize prizes
+reward
+lucky
+bonus bonuses
+coupon coupons
+voucher vouchers
+discount discounts discounted
+cheap cheaper cheapest
+bargain bargains
+sale
+deals
+offers
+clearance
+bet bets betting bettor bettors
+wager wagers wagering
+gamble gambles gambler
+odds
+poker
+slot slots
+bingo
+lotto lottery lotteries
+blackjack
+baccarat
+roulette
+jackpot
+stakes
+tipster tipsters
+raffle raffles
+sweepstake sweepstakes
+adult adults
+sex sexy sexual
+nude nudity
+naked
+erotic
+escort escorts
+fetish
+lingerie
+swinger swingers
+webcam webcams cam cams
+hot
+babe babes
+dating
+singles
+hookup
+kinky
+strip stripper strippers
+mature
+amateur amateurs
+teen teens
+pill pills
+pharma pharmacy pharmacies
+drug drugs drugstore drugstores
+med meds medication medications
+prescription prescriptions rx
+tablets
+capsules
+steroid steroids
+opioid opioids
+painkiller painkillers
+supplement supplements
+slimming weightloss
+detox
+miracle
+cure cures
+loan loans lender lenders
+payday
+cash
+credit
+debt debts
+mortgage mortgages
+forex
+binary
+crypto bitcoin bitcoins
+investment
+profit profits
+earn earnings income
+rich millionaire
+malware spyware adware
+phishing phish
+ransomware
+keylogger keyloggers
+botnet botnets
+trojans
+rootkit rootkits
+farm
+crack cracks cracked
+hack hacks hacked hacker hackers
+pirated piracy
+torrent torrents
+serials
+replica replicas
+counterfeit counterfeits
+knockoff knockoffs
+fake fakes
+backlink backlinks
+followers
+traffic
+seo
+bulk
+"""
+
+_FORMS = {form: line.split()[0] for line in _SOFT_FORMS.strip().splitlines() for form in line.split()}
 
-DEFAULT_VOCABULARY = Vocabulary(strict=tuple(_STRICT), soft=tuple(_SOFT))
+DEFAULT_VOCABULARY = Vocabulary(strict=tuple(_STRICT), soft=tuple(_FORMS), forms=tuple(_FORMS.items()))
 
 
 def split_url(url):
@@ -110,10 +219,11 @@ class _Judge:
             self.rules.setdefault(host, []).append(("/" + path, rule, verdict))
         self.limit = vocabulary.soft_limit
         self.automaton = ahocorasick.Automaton()
-        for term in vocabulary.soft:
-            self.automaton.add_word(term, (term, False))
+        for name, terms in vocabulary.terms_by_name().items():
+            for term in terms:
+                self.automaton.add_word(term, (term, name, False))
         for term in vocabulary.strict:
-            self.automaton.add_word(term, (term, True))
+            self.automaton.add_word(term, (term, term, True))
         self.automaton.make_automaton()
 
     def rule(self, host: str, path: str) -> tuple[str | None, str | None]:
@@ -128,16 +238,16 @@ class _Judge:
         return best, verdict
 
     def hits(self, text: str) -> tuple[int, int]:
-        """Distinct strict and soft terms that stand alone in ``text``."""
+        """Distinct strict terms and names of soft terms that stand alone in ``text``."""
         strict, soft = set(), set()
         if self.automaton.kind != ahocorasick.AHOCORASICK:
             return 0, 0
-        for end, (term, is_strict) in self.automaton.iter(text):
+        for end, (term, name, is_strict) in self.automaton.iter(text):
             begin = end - len(term) + 1
             before = text[begin - 1] if begin else "/"
             after = text[end + 1] if end + 1 < len(text) else "/"
             if before not in _ALNUM and after not in _ALNUM:
-                (strict if is_strict else soft).add(term)
+                (strict if is_strict else soft).add(name)
         return len(strict), len(soft)
 
 
