@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import sys
 
 import pytest
 
@@ -16,7 +17,7 @@ ODD = [" ", "  ", "▁", "a", "the", "é", "\n", "\x00", "😀", "漢", "́", "<
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    return PieceTokenizer(piece_model(), table_size=50)
+    return PieceTokenizer(piece_model(), table_bytes=20_000)
 
 
 def test_encodes_and_decodes_as_the_library_does(tokenizer):
@@ -56,3 +57,23 @@ def test_documents(spark, documents):
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert encode_documents(documents(rows).where("false"), piece_model()).collect() == []
+
+
+def test_table_is_bounded_by_bytes_and_holds_no_long_segments():
+    tokenizer = PieceTokenizer(piece_model(), table_bytes=100_000)
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("漢字かな交じり文", k=rng.randint(1, 400))) for _ in range(300)]
+    texts += [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(50)) for _ in range(100)]
+    for text, parts in zip(texts, tokenizer.encode_batch(texts, check=True)):
+        assert ids_of(parts) == tokenizer.library.encode(text)
+    assert tokenizer._table and all(len(part) <= SHORT for part in tokenizer._table)
+    held = sum(sum(map(sys.getsizeof, (part, found, *found[1:]))) for part, found in tokenizer._table.items())
+    assert held + sys.getsizeof(tokenizer._table) < 200_000
+
+
+def test_a_difference_from_the_library_stops():
+    for text in ("word", "x" * (SHORT + 9)):
+        tokenizer = PieceTokenizer(piece_model())
+        tokenizer.merge = lambda segment: [7]
+        with pytest.raises(ValueError):
+            tokenizer.encode_batch([text], check=True)
