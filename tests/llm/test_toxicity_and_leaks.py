@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
+import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +11,7 @@ import pytest
 
 from tests.conftest import MEDIUM
 from tradewind.llm import word_hashes
+from tradewind.llm.compression_toxicity import Parameters as ToxicityParameters
 from tradewind.llm.compression_toxicity import fit, learnable, score, without_toxic
 from tradewind.llm.decontaminate import Index, Parameters, _hashes, bare_words, item_parts, leaks, without_leaks
 from tradewind.llm.tables import crc_remainder, read
@@ -187,3 +191,97 @@ def test_places_of_a_short_item():
         count = max(1, -(-(n - 96) // 48) + 1)
         holding = [p for p in range(count) if p * 48 <= at and at + 3 <= p * 48 + 96]
         assert (row, item, passages, first) == (0, 0, len(holding), holding[0] * 48)
+
+
+def test_items_of_one_and_two_words_on_request(documents, spark):
+    benchmark = spark.createDataFrame([(1, "two words"), (2, "Paris"), (3, "")], "item_id long, text string")
+    rows = [(1, "some (two words)."), (2, "PARIS!"), (3, "two"), (4, "two other words"), (5, ""), (6, "two words of paris")]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(documents(rows), benchmark, Parameters(verbatim_words=1)).collect()}
+    assert got == {(1, 1), (2, 2), (6, 1), (6, 2)}
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(documents(rows), benchmark, Parameters(verbatim_words=2)).collect()}
+    assert got == {(1, 1), (6, 1)}
+
+
+def exhaustive(rows, items, parameters):
+    """Every passage against every segment, without an index."""
+    split = lambda text: [w for w in (w.strip(string.punctuation).lower() for w in (text or "").split()) if w]
+    grams = lambda words, size: {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+    stride = parameters.stride
+    segments = []
+    for number, (_, text) in enumerate(items):
+        words = split(text)
+        if len(words) >= parameters.min_words:
+            segments += [(number, list(s)) for s in np.array_split(words, math.ceil(len(words) / stride))]
+    df = Counter(w for _, s in segments for w in set(s))
+    mean = sum(len(s) for _, s in segments) / max(1, len(segments))
+
+    def impacts(segment):
+        weights = {}
+        for word, tf in Counter(segment).items():
+            idf = math.log(1 + (len(segments) - df[word] + 0.5) / (df[word] + 0.5))
+            weights[word] = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(segment) / mean))
+        return {w: x / sum(weights.values()) for w, x in weights.items()}
+
+    indexed = [(number, impacts(s)) for number, s in segments]
+    for doc_id, text in rows:
+        words, found = split(text), {}
+        count = max(1, -(-(len(words) - 2 * stride) // stride) + 1) if words else 0
+        for p in range(count):
+            passage = set(words[p * stride : (p + 2) * stride])
+            for number, weights in indexed:
+                score = sum(x for w, x in weights.items() if w in passage)
+                if score < parameters.threshold - 1e-6:
+                    continue
+                length = len(split(items[number][1]))
+                near = words[max(0, p * stride - length) : (p + 2) * stride + length]
+                shares = []
+                for part in map(split, item_parts(items[number][1])):
+                    size = max(1, min(3, len(part)))
+                    own = grams(part, size)
+                    shares.append(len(own & grams(near, size)) / len(own) if own else 1.0)
+                if min(shares) >= parameters.overlap:
+                    old = found.setdefault(number, [0.0, 0.0, 0.0, set(), p * stride])
+                    old[:4] = max(old[0], score), max(old[1], shares[0]), max(old[2], shares[1]), old[3] | {p}
+        for number, (score, question, answer, passages, start) in found.items():
+            yield doc_id, items[number][0], round(score, 4), round(question, 6), round(answer, 6), len(passages), start
+
+
+@pytest.mark.parametrize(
+    "seed, parameters",
+    [(1, Parameters()), (2, Parameters(stride=8, threshold=0.3, overlap=0.2)), (3, Parameters(threshold=0.8))],
+)
+def test_whole_query_against_every_passage_and_item(documents, spark, seed, parameters):
+    rng = random.Random(seed)
+    prose = lambda n: [rng.choice(["the", "of", "and", f"v{rng.randrange(300)}"]) for _ in range(n)]
+    items, rows = [], []
+    for number in range(40):
+        words = prose(rng.choice([5, 6, 9, 20, 60, 130]))
+        if number % 2:
+            words[len(words) // 2] += "?"
+        items.append((number, " ".join(words)))
+    items.append((7, items[7][1]))
+    for doc_id in range(40):
+        words = prose(rng.choice([0, 3, 90, 97, 400]))
+        leak = [w if rng.random() > rng.choice([0, 0.1, 0.4]) else "zzz" for w in rng.choice(items)[1].split()]
+        at = rng.randrange(len(words) + 1)
+        rows.append((doc_id, " ".join(words[:at] + leak[: rng.choice([len(leak), len(leak) // 2 + 1])] + words[at:])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = [
+        (r["doc_id"], r["item_id"], round(r["score"], 4), round(r["question_overlap"], 6), round(r["answer_overlap"], 6),
+         r["n_passages"], r["first_word"])
+        for r in leaks(documents(rows), benchmark, parameters).collect()
+    ]
+    want = sorted(exhaustive(rows, items, parameters))
+    assert sorted(got) == want and len(want) > 10
+    clean = {r["doc_id"] for r in without_leaks(documents(rows), benchmark, parameters).collect()}
+    assert clean == {d for d, _ in rows} - {w[0] for w in want}
+
+
+def test_repeated_rows_do_not_grow_the_sample(spark):
+    rows, labels = corpus(300)
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = once.unionByName(once.where("doc_id < 30").crossJoin(spark.range(40).select()))
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int")
+    bounds = dict(sample_toxic=40, sample_ordinary=90)
+    models = [fit(frame, truth, ToxicityParameters(**bounds)) for frame in (once, often)]
+    assert models[0] == models[1]

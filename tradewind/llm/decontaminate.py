@@ -19,8 +19,9 @@ enough word trigrams of both its question and its answer; a part of one or two
 words is looked for as it is, among the words or word pairs there. An item is split
 after its last question mark, or in the middle if it has none.
 
-Items of ``VERBATIM`` words up to ``min_words`` are too short for a threshold: they
-match where the whole item stands word for word.
+Items of fewer than ``min_words`` words are too short for a threshold: those of
+``verbatim_words`` and more match where the whole item stands word for word. With 1,
+an item "Paris" takes every document that names the city, so the default is 3.
 
 Only the benchmark is broadcast, in shards of at most ``shard_bytes`` of text,
 each with a pass over the documents; documents are neither shuffled nor cut.
@@ -28,10 +29,11 @@ each with a pass over the documents; documents are neither shuffled nor cut.
 Words are compared without the punctuation at their edges, ASCII and typographic, and
 without case: "(Paris)." is "paris". Marks that stand alone are no words.
 
-Defined results: items and documents without text, and items of one or two words,
-match nothing; repeated items are reported each, repeated
+Defined results: items and documents without text, and items of fewer words than
+``verbatim_words``, match nothing; repeated items are reported each, repeated
 documents too; ties do not matter, as all at or above the threshold are returned;
-null ids stay null; an empty table gives no rows; extra columns are ignored.
+null ids stay null; an empty table gives no rows; extra columns are ignored; a very
+long text is read whole, passage by passage.
 """
 
 from __future__ import annotations
@@ -50,7 +52,6 @@ from tradewind.llm import word_hashes
 from tradewind.llm.worker_memory import kept
 
 BLOCK = 4
-VERBATIM = 3
 _K1, _B = 1.2, 0.75
 _END = 1 << 60
 
@@ -61,6 +62,7 @@ class Parameters:
     threshold: float = 0.5
     overlap: float = 0.5
     min_words: int = 5
+    verbatim_words: int = 3
     shard_bytes: int = 8 << 20
 
 
@@ -132,7 +134,7 @@ class Index:
             words = _hashes(text)
             self.lengths.append(len(words))
             self.parts.append([_part(_hashes(p)) for p in item_parts(text)])
-            if VERBATIM <= len(words) < parameters.min_words:
+            if max(1, parameters.verbatim_words) <= len(words) < parameters.min_words:
                 verbatim[len(words)][int(_grams(words, len(words))[0])].append(number)
             if len(words) >= parameters.min_words:
                 pieces = math.ceil(len(words) / stride)
