@@ -184,7 +184,9 @@ def fit(
     sample = (
         documents.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .where(F.col("id").isin(list(picked)) & (F.octet_length("text") <= parameters.sample_bytes))
-        .orderBy(F.xxhash64("id", "text"))
+        .dropDuplicates()
+        .orderBy(F.xxhash64("id", "text"), "id", "text")
+        .limit(parameters.sample_toxic + parameters.sample_ordinary)
         .collect()
     )
     # Two thirds train the dictionaries, the rest calibrates them.
