@@ -140,3 +140,15 @@ def test_components_of_shapes(spark, shape):
         assert got == {1: 1, 2: 1, 3: 1, 9: -5, 8: -5, -5: -5}
     else:
         assert set(got.values()) == {0} and len(got) == 41
+
+
+def test_long_lists_are_dealt_without_their_members_other_keys(spark):
+    """What a member of a long list carries must not grow with the number of its long lists."""
+    lists = "array(named_struct('long_key', 7L, 'mark', 3L), named_struct('long_key', 8L, 'mark', -3L))"
+    members = spark.range(3).selectExpr("id AS a", f"{lists} AS lists", "3L AS n", "unhex('0700000000000000') AS bits")
+    roots = spark.createDataFrame([(0, 0), (1, 0)], "node long, root long")
+    for many in (False, True):
+        pairs = ngram_join._between_components(members, roots, 75, many)
+        assert sorted((r["a"], r["b"]) for r in pairs.collect()) == [(0, 2), (1, 2)]
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        assert ("open_keys" in plan) is many

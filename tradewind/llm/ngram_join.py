@@ -24,7 +24,7 @@ meeting is in a long list are found there. A longer
 one gives the pairs with its hub, the class with the most copies, or else with the
 largest share of its shingles in long lists, which is the one that near copies
 have in common. When the links found so far leave a long list with several
-components, the pairs between these follow, each pair in one list only and a list
+components, the pairs between these follow, a list
 in blocks of ``BLOCK`` classes. So a group of thousands of near copies is linked
 without all its pairs, and no link between components is lost; ``link_counts`` looks at all pairs
 of long lists in this way. Candidates pass a
@@ -373,11 +373,12 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 class _Block:
-    """Members of a long list: nodes, marks, sizes, components, keys (all, and those
-    under which they meet every member) and bitmaps."""
+    """Members of a long list: nodes, marks, sizes, components, bitmaps and, if wanted, keys
+    (all, and those under which they meet every member)."""
 
     def __init__(self, rows: list[tuple]):
-        nodes, marks, sizes, roots, self.keys, bits = zip(*rows) if rows else [()] * 6
+        nodes, marks, sizes, roots, bits, *keys = zip(*rows) if rows else [()] * 5
+        self.keys = [tuple(map(frozenset, x)) for x in zip(*keys)]
         self.nodes, self.marks, self.sizes, self.roots = (
             np.array(x, np.int64) for x in (nodes, marks, sizes, roots)
         )
@@ -408,14 +409,21 @@ class _Block:
         return np.flatnonzero(fits)
 
 
-def _between_components(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _between_components(members: DataFrame, roots: DataFrame, percent: int, many: bool = False) -> DataFrame:
     """Pairs of the long lists that lie in different components and whose bitmaps allow a link.
 
-    A pair is given by the least key under which both members may meet. Long lists
-    are cut into blocks, and each pair of blocks is a group of its own.
+    ``members`` has ``a, lists, n, bits``, a row for each class. Long lists are cut into
+    blocks, and each pair of blocks is a group of its own. Lists are dealt as narrow rows;
+    bitmaps meet them last, for the one shuffle that brings a group together. If ``many``
+    pairs are expected, members carry their keys too and a pair is given by the least key
+    under which both may meet; else by all such keys, which are few rows to drop again.
     """
-    labelled = members.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn(
-        "root", F.coalesce("root", "a")
+    keys = [F.col("lists.long_key").alias("keys"), F.filter("lists", lambda x: x["mark"] > 0)["long_key"].alias("open_keys")]
+    keys = keys if many else []
+    labelled = (
+        members.select("a", "lists")
+        .join(roots.select(F.col("node").alias("a"), "root"), "a", "left")
+        .select(F.inline("lists"), "a", F.coalesce("root", "a").alias("root"))
     )
     split = (
         labelled.groupBy("long_key")
@@ -429,42 +437,39 @@ def _between_components(members: DataFrame, roots: DataFrame, percent: int) -> D
         .withColumn("block", block)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
+        .join(members.select("a", "n", "bits", *keys), "a")
+        .select("long_key", "low", "high", "block", "a", "mark", "n", "root", "bits", *(["keys", "open_keys"] if many else []))
         .repartition("long_key", "low", "high")
         .sortWithinPartitions("long_key", "low", "high")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(group: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            key, low, high = group
+        def pairs(key: int, low: int, high: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             first = _Block([r[1:] for r in rows if r[0] == low])
             second = first if low == high else _Block([r[1:] for r in rows if r[0] == high])
-            a, b = [], []
             for k in range(len(second.bits)):
-                for i in first.partners(second, k, percent).tolist():
-                    if low == high and i >= k:
-                        continue
-                    (all_i, open_i), (all_k, open_k) = first.keys[i], second.keys[k]
-                    if min((all_i & open_k) | (open_i & all_k)) == key:
-                        x, y = int(first.nodes[i]), int(second.nodes[k])
-                        a.append(min(x, y))
-                        b.append(max(x, y))
-            if a:
-                yield _batch({"a": pa.array(a), "b": pa.array(b)})
+                i = first.partners(second, k, percent)
+                i = i[i < k] if low == high else i
+                if many:
+                    every, open_ = second.keys[k]
+                    least = (min((every & first.keys[x][1]) | (open_ & first.keys[x][0])) for x in i.tolist())
+                    i = i[np.fromiter(least, np.int64, len(i)) == key]
+                if len(i):
+                    x, y = first.nodes[i], second.nodes[k]
+                    yield _batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
         open_, held = None, []
         for batch in batches:
-            x = batch.to_pydict()
-            for key, low, high, block, a, mark, n, root, keys, open_keys, bits in zip(*(x[c] for c in columns)):
+            for key, low, high, *row in zip(*batch.to_pydict().values()):
                 if (key, low, high) != open_:
                     if open_:
-                        yield from pairs(open_, held)
+                        yield from pairs(*open_, held)
                     open_, held = (key, low, high), []
-                held.append((block, a, mark, n, root, (frozenset(keys), frozenset(open_keys)), bits))
+                held.append(row)
         if open_:
-            yield from pairs(open_, held)
+            yield from pairs(*open_, held)
 
-    columns = ["long_key", "low", "high", "block", "a", "mark", "n", "root", "keys", "open_keys", "bits"]
-    return dealt.select(columns).mapInArrow(lean(run), "a long, b long").distinct()
+    return dealt.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 # --- The join ------------------------------------------------------------
@@ -476,21 +481,16 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
     found = stored(list_candidates(index_entries(texts, hot, percent), percent), "lists")
     met = found.where("long_key IS NULL").groupBy("a", "b").agg(F.sum("met").alias("met"))
     candidates = met.where("met >= 2").select("a", "b")
-    per_class = (
+    # One row for each class: its bitmap is not repeated for all of its lists.
+    members = stored(
         found.where("long_key IS NOT NULL")
         .groupBy("a")
         .agg(F.collect_list(F.struct("long_key", F.col("b").alias("mark"))).alias("lists"))
-        .join(classes.select(F.col("node").alias("a"), "n", "bits", "copies"), "a")
-        .withColumns(
-            {
-                "keys": F.col("lists.long_key"),
-                "open_keys": F.filter("lists", lambda x: x["mark"] > 0)["long_key"],
-                "rank": F.struct("copies", F.size("lists") / F.col("n")),
-            }
-        )
+        .join(classes.select(F.col("node").alias("a"), "n", "bits", "copies"), "a"),
+        "members",
     )
-    members = stored(per_class.select(F.inline("lists"), "a", "n", "bits", "keys", "open_keys", "rank"), "members")
-    candidates = candidates.unionByName(hub_candidates(members, percent))
+    ranked = members.select(F.inline("lists"), "a", "n", F.struct("copies", F.size("lists") / F.col("n")).alias("rank"))
+    candidates = candidates.unionByName(hub_candidates(ranked, percent))
     links = stored(_verified(_bounded(candidates, classes, percent), texts, percent), "links")
     if members.isEmpty():
         return links
@@ -498,7 +498,7 @@ def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT
         # Every class apart from every other: all pairs of the long lists.
         roots = classes.select("node", F.col("node").alias("root"))
         found = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = _between_components(members, roots, percent).join(found, ["a", "b"], "left_anti")
+        rest = _between_components(members, roots, percent, many=True).join(found, ["a", "b"], "left_anti")
     else:
         rest = _between_components(members, connected_components(links), percent)
     return links.unionByName(stored(_verified(rest, texts, percent), "links"))
