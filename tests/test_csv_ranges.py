@@ -69,3 +69,17 @@ def test_other_headers_and_other_widths_stop(spark, tmp_path):
 def test_a_file_with_only_a_header(spark, tmp_path):
     written(tmp_path, "one.csv", [])
     assert read_raw_csv(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("cell, split", [("plain, \"quoted\"", True), ("two\nlines", False), ("a\rb", False)])
+def test_files_of_one_line_records_go_to_sparks_reader(spark, small_ranges, tmp_path, cell, split):
+    written(tmp_path, "one.csv", [[str(n), " ", "é"] for n in range(200)] + [["x", cell, ""], []])
+    read = read_raw_csv(spark, str(tmp_path))
+    assert ("MapInArrow" not in read._jdf.queryExecution().optimizedPlan().toString()) is split
+    got = sorted(map(tuple, read.collect()), key=str)
+    assert got == whole(spark, tmp_path) and len(got) == 201
+
+
+def test_lines_of_blanks_stay_records(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a\nx\n  \n\ny\n")
+    assert sorted(r["a"] for r in read_raw_csv(spark, str(tmp_path)).collect()) == ["  ", "x", "y"]

@@ -17,7 +17,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _WHOLE, _HEAD, _TAIL = 0, 1, 2
@@ -31,10 +31,23 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def is_line_per_record(spark: SparkSession, path: str) -> bool:
+    """Whether every line of the files at a path is a whole record or empty, so that Spark may split them
+    at line breaks: no quoted line break, no carriage return, no line of blanks only (Spark's reader
+    drops those). The search ends with the first other line."""
+    value = F.col("value")
+    blank = (value != "") & ~value.rlike(r"[^\x00-\x20]")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.where((_quotes(value) % 2 == 1) | value.contains("\r") | blank).isEmpty()
+
+
+def _quotes(value: Column) -> Column:
+    return F.char_length(value) - F.char_length(F.replace(value, F.lit('"'), F.lit("")))
+
+
 def _open_ranges(lines: DataFrame) -> DataFrame:
     """``file, range, inside``: whether a range begins in a quoted field. One row a range."""
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.groupBy("file", "range").agg((F.sum(quotes) % 2).alias("odd"))
+    odd = lines.groupBy("file", "range").agg((F.sum(_quotes(F.col("value"))) % 2).alias("odd"))
     before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     return odd.select("file", "range", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
 

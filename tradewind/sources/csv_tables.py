@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.sources.csv_ranges import read_csv
+from tradewind.sources.csv_ranges import is_line_per_record, read_csv
 from tradewind.sources.tables import replace_table
 
 # File of each raw table, after the vendor's prefix.
@@ -58,9 +58,10 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     compares each with the first and fails on another order or other names, as
     it would else join columns by position.
 
-    ``multi_line`` admits quoted line breaks: byte ranges of a file find their records
-    themselves (see :mod:`tradewind.sources.csv_ranges`), in three passes over the text.
-    Files known to hold none take one pass if it is False.
+    ``multi_line`` admits quoted line breaks: files that hold one are read by byte ranges that
+    find their records themselves (see :mod:`tradewind.sources.csv_ranges`), in three passes over
+    the text. A search for the first quoted line break comes before, and files without one go
+    to Spark's own reader. Files known to hold none take one pass if it is False.
     """
     options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
     reader = {**options, "inferSchema": False, "multiLine": multi_line, "encoding": "UTF-8"}
@@ -68,9 +69,12 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     if first is None:
         raise ValueError(f"no header at {path}")
     names = normalized(c or "" for c in first)
-    if multi_line:
+    # Empty names and byte-order marks in a header are not for Spark's reader.
+    plain = all(first) and not first[0].startswith("\ufeff")
+    if multi_line and not (plain and is_line_per_record(spark, path)):
         header = [(c or "").lstrip("\ufeff") for c in first]
         return read_csv(spark, path, header, options).toDF(*names)
+    reader["multiLine"] = False
     return spark.read.csv(path, header=True, enforceSchema=False, **reader).toDF(*names)
 
 
