@@ -5,11 +5,13 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import MEDIUM
 from tests.llm.conftest import words_of
-from tradewind.llm.class_ngrams import exchange_clusters, score_documents
+from tradewind.llm import word_hashes
+from tradewind.llm.class_ngrams import Parameters, exchange_clusters, score_documents, train, word_counts
 from tradewind.llm.tables import read
 
 
@@ -91,3 +93,23 @@ def test_exchange_parts_words_that_alternate():
     pairs[8, 0] = pairs[5, 8] = 1
     of = exchange_clusters(pairs, 3, 20)
     assert len(set(of[:4])) == 1 and len(set(of[4:8])) == 1 and of[0] != of[4] and of[8] == 2
+
+
+def test_rare_words_get_classes_from_their_neighbours(documents):
+    """Words outside the core that share an ending, and so a pool, are told apart by what surrounds them."""
+    nouns, verbs = [f"n{i}xx" for i in range(30)], [f"v{i}xx" for i in range(30)]
+    rng = np.random.default_rng(1)
+    either = lambda common, rare: common if rng.random() < 0.5 else rare[rng.integers(30)]
+    rows = [(i, f"the {either('dog', nouns)} did {either('run', verbs)} end") for i in range(400)]
+    texts = documents(rows).select("text")
+    parameters = Parameters(core=5, pools=4, classes=10)
+    model, words = train(texts, word_counts(texts, parameters), parameters)
+    of = {r["word"]: r["class"] for r in words.collect()}
+    assert sum(c is None for c in of.values()) == 5
+
+    def classes(some):
+        hashes = word_hashes.words(*word_hashes.column_bytes(pa.array(some)))[2].view(np.int64).tolist()
+        return {of[h] for h in hashes if h in of}
+
+    assert len(classes(nouns)) == len(classes(verbs)) == 1 and classes(nouns) != classes(verbs)
+    assert model.tokens.sum() == model.total == 400 * 6 and model.words.sum() == model.distinct == len(of) + 1

@@ -4,16 +4,22 @@ P(word | word before) = P(class | class before) * P(word | class). Classes come
 from exchange clustering: every unit is moved to the class that raises the
 likelihood of the corpus' class bigrams most, in sweeps until no move helps.
 
-A unit is one of the ``core`` most frequent words, or a pool of all other words
-with the same ending; so every word, seen or not, has a class that follows from
-the word alone. Bigrams of units are counted over the whole training corpus; their
-table is bounded by the number of units squared and is what the driver clusters.
-Word counts are not bounded and never leave the executors.
-
-Scoring needs the count of every word of every text. Texts are dealt into blocks
+All training words are clustered, in two steps. The first gives classes to units: the
+``core`` most frequent words, and pools of all other words with the same ending. Bigrams
+of units are counted over the whole corpus; their table is bounded by the number of
+units squared and is what the driver clusters. In the second step every word outside the
+core, however rare, goes to the class that its own neighbours in the corpus favour most:
+an exchange sweep of all words at once, at the units' class statistics. Neighbours' classes
+are counted for each word and joined by a shuffle on the word. A pool's class is kept
+for words that training has not seen. Words, their counts and classes are not bounded
+and never leave the executors.
+
+Scoring needs count and class of every word of every text. Texts are dealt into blocks
 of about ``BLOCK_BYTES``; each block asks once for each of its distinct words, the
-requests are joined to the counts, and answers and texts of a block meet again.
-What is shuffled is the text once and the distinct words of blocks twice.
+requests are joined to the words, and answers and texts of a block meet again.
+What is shuffled is the text once, the distinct words of blocks twice, and neighbours'
+classes of the words of slices. A text leaves its class pairs and emissions; the training
+texts' pairs add up to the class bigrams, and with these all texts are scored.
 
 Words are compared by 64-bit hashes. Tokens are words and one end per text.
 
@@ -53,11 +59,10 @@ class Parameters:
 
 @dataclass(frozen=True)
 class Model:
-    """Classes of the units, class statistics and totals; its size is bounded by the parameters."""
+    """Classes of the units, class totals and corpus totals; its size is bounded by the parameters."""
 
     core: np.ndarray  # hashes of the core words, sorted
     unit_class: np.ndarray  # of core words, pools and, last, the end
-    bigrams: np.ndarray  # counts of class pairs
     tokens: np.ndarray  # training tokens of each class
     words: np.ndarray  # distinct words of each class
     total: int
@@ -65,18 +70,18 @@ class Model:
     ends: int
     parameters: Parameters
 
-    def transitions(self) -> np.ndarray:
-        """log10 P(class | class before), backed off to the class shares."""
-        share = (self.tokens + 0.5) / (self.tokens.sum() + 0.5 * len(self.tokens))
-        weight = self.parameters.back_off
-        rows = self.bigrams + weight * share[None, :]
-        return np.log10(rows / (self.bigrams.sum(axis=1, keepdims=True) + weight))
-
     def emission(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """log10 P(word | class)."""
         return np.log10((counts + 0.5) / (self.tokens[classes] + 0.5 * (self.words[classes] + 1)))
 
 
+def transitions(bigrams: np.ndarray, back_off: float) -> np.ndarray:
+    """log10 P(class | class before), backed off to the class shares."""
+    tokens = bigrams.sum(axis=0)
+    share = (tokens + 0.5) / (tokens.sum() + 0.5 * len(tokens))
+    return np.log10((bigrams + back_off * share[None, :]) / (bigrams.sum(axis=1, keepdims=True) + back_off))
+
+
 def _pool(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pools: int) -> np.ndarray:
     """A pool for each word by its last two bytes."""
     last = word_hashes.LOWER[data[ends - 1]].astype(np.uint64)
@@ -197,29 +202,126 @@ def exchange_clusters(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarra
     return of
 
 
-def train(texts: DataFrame, counts: DataFrame, parameters: Parameters = Parameters()) -> Model:
-    """A model of training ``texts`` (column ``text``) and their stored word counts."""
+def neighbour_classes(texts: DataFrame, core: np.ndarray, of: np.ndarray, parameters: Parameters) -> DataFrame:
+    """``word, slot, n``: how often a class stands before (slot: the class) or after (slot: classes + the
+    class) each word outside the core."""
+    shared = texts.sparkSession.sparkContext.broadcast((core, of))
+    slots = 2 * parameters.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core, of = shared.value
+        for batch in batches:
+            for large in word_hashes.slices(batch, "text", _COUNT_SLICE):
+                words, places = [], []
+                for piece in word_hashes.slices(large, "text"):
+                    sequence, (hashes, bounds) = _sequences(piece.column("text"), core, parameters)
+                    at = np.arange(len(hashes)) + np.repeat(np.arange(1, len(bounds)), np.diff(bounds))
+                    some = (sequence[at] >= len(core)).nonzero()[0]
+                    classes, at = of[sequence], at[some]
+                    words += [hashes[some], hashes[some]]
+                    places += [classes[at - 1], classes[at + 1] + parameters.classes]
+                found, word = np.unique(np.concatenate(words), return_inverse=True)
+                pairs, n = np.unique(word * slots + np.concatenate(places), return_counts=True)
+                yield _batch(
+                    {
+                        "word": pa.array(found[pairs // slots].view(np.int64)),
+                        "slot": pa.array((pairs % slots).astype(np.int16)),
+                        "n": pa.array(n.astype(np.int32)),
+                    }
+                )
+
+    return texts.mapInArrow(lean(run), "word long, slot short, n int")
+
+
+def best_classes(neighbours: np.ndarray, bigrams: np.ndarray, back_off: float) -> np.ndarray:
+    """The class that gains most likelihood from each word's neighbours; the last, the end's, takes none.
+
+    Rows of ``neighbours`` count the classes before and after a word. The gain is that of
+    :func:`exchange_clusters` at class statistics that stay as they are.
+    """
+    classes = len(bigrams)
+    after = transitions(bigrams, back_off)
+    share = bigrams.sum(axis=0) + 0.5
+    before = after - np.log10(share / share.sum())
+    gain = neighbours[:, classes:] @ after.T + neighbours[:, :classes] @ before
+    gain[:, -1] = -np.inf
+    return gain.argmax(axis=1)
+
+
+def word_classes(neighbours: DataFrame, bigrams: np.ndarray, parameters: Parameters) -> DataFrame:
+    """``word, class`` of every word with neighbours."""
+    slots = 2 * parameters.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.zeros(slots)  # the word that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, slot, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "slot", "n"))
+            found, row = np.unique(word, return_inverse=True)
+            table = np.bincount(row * slots + slot, n, len(found) * slots).reshape(-1, slots)
+            if last is not None and found[0] == last:
+                table[0] += held
+            elif last is not None:
+                found, table = np.append(last, found), np.vstack([held, table])
+            last, held = found[-1], table[-1]
+            if len(found) > 1:
+                of = best_classes(table[:-1], bigrams, parameters.back_off)
+                yield _batch({"word": pa.array(found[:-1]), "class": pa.array(of)})
+        if last is not None:
+            of = best_classes(held[None, :], bigrams, parameters.back_off)
+            yield _batch({"word": pa.array([int(last)], pa.int64()), "class": pa.array(of)})
+
+    ordered = neighbours.repartition("word").sortWithinPartitions("word")
+    return ordered.mapInArrow(lean(run), "word long, class long")
+
+
+def train(texts: DataFrame, counts: DataFrame, parameters: Parameters = Parameters()) -> tuple[Model, DataFrame]:
+    """A model of training ``texts`` (column ``text``) and their stored word counts, and the stored
+    ``word, n, class`` of all words, the class of core words being null."""
     ends = texts.count()
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("words")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(parameters.core).select("word").toArrow()["word"].to_numpy()
-    core = np.sort(top.astype(np.int64).view(np.uint64))
+    top = counts.orderBy(F.desc("n"), "word").limit(parameters.core).select("word", "n").toArrow()
+    core, times = (top[c].to_numpy().astype(np.int64) for c in ("word", "n"))
+    order = np.argsort(core.view(np.uint64))
+    core, times = core.view(np.uint64)[order], times[order]
     pairs = unit_bigrams(texts, core, parameters)
     of = exchange_clusters(pairs, parameters.classes, parameters.sweeps)
-    pools = np.zeros(parameters.pools)
-    outside = counts.where(~F.col("word").isin(core.view(np.int64).tolist())) if len(core) else counts
-    for r in outside.groupBy("pool").count().collect():
-        pools[r["pool"]] = r["count"]
-    distinct = np.concatenate([np.ones(len(core)), pools, [1.0 if ends else 0.0]])
-    member = np.zeros((len(of), parameters.classes))
-    member[np.arange(len(of)), of] = 1
-    table = member.T @ pairs @ member
-    return Model(
-        core, of, table, table.sum(axis=0), distinct @ member,
-        int(totals["n"] or 0) + ends, int(totals["words"]) + (ends > 0), ends, parameters,
-    )
+    member = np.eye(parameters.classes)[of]
+    start = member.T @ pairs @ member
+    assigned = word_classes(neighbour_classes(texts, core, of, parameters), start, parameters)
+    words = stored(counts.select("word", "n").join(assigned, "word", "left"), "word-classes")
+    tokens = np.bincount(of[: len(core)], times, parameters.classes)
+    distinct = np.bincount(of[: len(core)], minlength=parameters.classes).astype(float)
+    for r in words.where("class IS NOT NULL").groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        tokens[r[0]] += r[1]
+        distinct[r[0]] += r[2]
+    tokens[-1], distinct[-1] = ends, ends > 0
+    model = Model(
+        core, of, tokens, distinct, int(totals["n"] or 0) + ends, int(totals["words"]) + (ends > 0), ends, parameters
+    )
+    return model, words
 
 
-def score(rows: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+def _pair_sums(parts: DataFrame, classes: int) -> np.ndarray:
+    """Class bigrams of the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            pairs, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("pairs", "times"))
+            table += np.bincount(pairs, n, len(table)).astype(np.int64)
+        found = np.flatnonzero(table)
+        yield _batch({"pair": pa.array(found), "n": pa.array(table[found])})
+
+    learnt = parts.where("NOT held_out").select("pairs", "times")
+    rows = learnt.mapInArrow(lean(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(classes * classes)
+    out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
+    return out.reshape(classes, classes)
+
+
+def score(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of ``doc_id, held_out, text``."""
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -237,12 +339,13 @@ def score(rows: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         return pa.table({"block": pa.array(np.full(len(words), block)), "word": pa.array(words.view(np.int64))})
 
     asked = dealt.groupBy("block").applyInArrow(distinct, "block long, word long")
-    answers = asked.join(counts.select("word", "n"), "word").select("block", "word", "n")
+    answers = asked.join(words, "word").select("block", "word", "n", F.coalesce("class", F.lit(-1)).alias("class"))
     shared = spark.sparkContext.broadcast(model)
     kinds = pa.schema(
         [
             ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
+            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("emission", pa.float64()),
+            ("pairs", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())),
         ]
     )
 
@@ -251,7 +354,8 @@ def score(rows: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         words = known.column("word").to_numpy().view(np.uint64)
         order = np.argsort(words)
         words, n = words[order], known.column("n").to_numpy()[order]
-        transitions = model.transitions()
+        given = known.column("class").to_numpy()[order]
+        classes_ = model.parameters.classes
         out = []
         for batch in texts.combine_chunks().to_batches():
             for piece in word_hashes.slices(batch, "text"):
@@ -264,9 +368,15 @@ def score(rows: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 place = np.arange(len(hashes)) + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 tokens[place] = np.where(found, n[at] if len(words) else 0, 0)
                 classes = model.unit_class[sequence]
+                if len(words):
+                    own = np.where(found & (given[at] >= 0), given[at], classes[place + 1])
+                    classes[place + 1] = own
                 base = np.log10((tokens + 0.5) / (model.total + 0.5 * (model.distinct + 1)))
-                own = transitions[classes[:-1], classes[1:]] + model.emission(tokens, classes[1:])
+                emission = model.emission(tokens, classes[1:])
                 rows = piece.num_rows
+                row = np.repeat(np.arange(rows), np.diff(bounds) + 1)
+                pairs, times = np.unique((row * classes_ + classes[:-1]) * classes_ + classes[1:], return_counts=True)
+                cuts = pa.array(np.searchsorted(pairs // classes_**2, np.arange(rows + 1)).astype(np.int32))
                 out.append(
                     pa.Table.from_arrays(
                         [
@@ -276,22 +386,38 @@ def score(rows: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                             pa.array(np.add.reduceat((tokens > 0).astype(np.int64), firsts)),
                             pa.array(np.full(rows, model.total)),
                             pa.array(np.add.reduceat(base, firsts)),
-                            pa.array(np.add.reduceat(own, firsts)),
+                            pa.array(np.add.reduceat(emission, firsts)),
+                            pa.ListArray.from_arrays(cuts, pa.array((pairs % classes_**2).astype(np.int32))),
+                            pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
                         ],
                         schema=kinds,
                     )
                 )
         return pa.concat_tables(out) if out else kinds.empty_table()
 
-    return (
+    columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double"
+    parts = stored(
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(
-            run,
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
-        )
+        .applyInArrow(run, columns + ", emission double, pairs array<int>, times array<int>"),
+        "class-pairs",
     )
+    parameters = model.parameters
+    moves = transitions(_pair_sums(parts, parameters.classes), parameters.back_off).ravel()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pairs, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("pairs", "times"))
+            # Every text has a pair: its end follows something.
+            firsts = np.append(0, np.cumsum(batch.column("pairs").value_lengths().to_numpy())[:-1])
+            added = np.add.reduceat(moves[pairs] * n, firsts)
+            emitted = batch.column("emission").to_numpy(zero_copy_only=False)
+            kept = batch.columns[:6]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(emitted + added)], names=[*batch.schema.names[:6], "score"])
+
+    return parts.mapInArrow(lean(total), columns + ", score double")
 
 
 def score_documents(
@@ -305,4 +431,5 @@ def score_documents(
     )
     learnt = rows.where("NOT held_out").select("text")
     counts = stored(word_counts(learnt, parameters), "words")
-    return score(rows, counts, train(learnt, counts, parameters))
+    model, words = train(learnt, counts, parameters)
+    return score(rows, words, model)
