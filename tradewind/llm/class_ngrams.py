@@ -203,8 +203,8 @@ def exchange_clusters(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarra
 
 
 def neighbour_classes(texts: DataFrame, core: np.ndarray, of: np.ndarray, parameters: Parameters) -> DataFrame:
-    """``word, slot, n``: how often a class stands before (slot: the class) or after (slot: classes + the
-    class) each word outside the core."""
+    """``word, slots, times``: how often a class stands before (slot: the class) or after (slot: classes + the
+    class) each word outside the core, a row for each word of a slice, as bytes of 16 and 32 bits a number."""
     shared = texts.sparkSession.sparkContext.broadcast((core, of))
     slots = 2 * parameters.classes
 
@@ -222,15 +222,31 @@ def neighbour_classes(texts: DataFrame, core: np.ndarray, of: np.ndarray, parame
                     places += [classes[at - 1], classes[at + 1] + parameters.classes]
                 found, word = np.unique(np.concatenate(words), return_inverse=True)
                 pairs, n = np.unique(word * slots + np.concatenate(places), return_counts=True)
+                cuts = np.searchsorted(pairs // slots, np.arange(len(found) + 1))
                 yield _batch(
                     {
-                        "word": pa.array(found[pairs // slots].view(np.int64)),
-                        "slot": pa.array((pairs % slots).astype(np.int16)),
-                        "n": pa.array(n.astype(np.int32)),
+                        "word": pa.array(found.view(np.int64)),
+                        "slots": _packed((pairs % slots).astype(np.int16), cuts),
+                        "times": _packed(n.astype(np.int32), cuts),
                     }
                 )
 
-    return texts.mapInArrow(lean(run), "word long, slot short, n int")
+    return texts.mapInArrow(lean(run), "word long, slots binary, times binary")
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the values between cuts."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows, and how many each row has."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].copy().view(kind), np.diff(offsets) // size
 
 
 def best_classes(neighbours: np.ndarray, bigrams: np.ndarray, back_off: float) -> np.ndarray:
@@ -257,8 +273,9 @@ def word_classes(neighbours: DataFrame, bigrams: np.ndarray, parameters: Paramet
         for batch in batches:
             if not batch.num_rows:
                 continue
-            word, slot, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "slot", "n"))
-            found, row = np.unique(word, return_inverse=True)
+            (slot, many), (n, _) = _unpacked(batch.column("slots"), np.int16), _unpacked(batch.column("times"), np.int32)
+            found, row = np.unique(batch.column("word").to_numpy(), return_inverse=True)
+            row = np.repeat(row, many)
             table = np.bincount(row * slots + slot, n, len(found) * slots).reshape(-1, slots)
             if last is not None and found[0] == last:
                 table[0] += held
